@@ -14,8 +14,14 @@ MAX_SEQUENCE = 2048
 
 
 def word_length(text: Column) -> Column:
-    """Number of blank-separated words: the default length where no tokenizer is given."""
-    return F.regexp_count(text, F.lit(r"\S+")).cast("bigint")
+    """Number of blank-separated words: the default length where no tokenizer is given.
+
+    Splitting leaves an empty piece at an end that is blank; those are not counted.
+    """
+    pieces = F.size(F.split(text, r"\s+", -1))
+    first, last = F.substring(text, 1, 1), F.substring(text, -1, 1)
+    empty = sum(end.rlike(r"\A\s?\z").cast("int") for end in (first, last))
+    return F.greatest(pieces - empty, F.lit(0)).cast("bigint")
 
 
 def char_length(text: Column) -> Column:

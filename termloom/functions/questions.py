@@ -61,8 +61,10 @@ TEMPLATES = {
 PAIRS_PER_ROW = 4
 MAX_ORIGINAL_WORD_CHARS = 50
 
-# Draws are hexadecimal, so this sorts behind each of them.
-NOT_DRAWN = "~"
+# Each type's lot is its own run of digits of one long digest.
+LOT_DIGITS = 7
+# Lots are hexadecimal, so this sorts behind each of them.
+NO_LOT = "~"
 
 RESPONSES = {
     1: terms.full_response,
@@ -107,16 +109,20 @@ def available_types(conditions: Mapping[int, Column]) -> Column:
 def picked_types(
     conditions: Mapping[int, Column], key: Column, seed: int, count: int = PAIRS_PER_ROW
 ) -> Column:
-    """Up to ``count`` available types, drawn without replacement, as array<struct<drawn, type>>.
+    """Up to ``count`` available types, drawn without replacement, as array<struct<lot, type>>.
 
-    Each available type draws a number and the lowest win. No row meets another one, so this
-    needs no shuffle.
+    Each available type has a lot and the lowest win. No row meets another one, so this needs no
+    shuffle; one digest per row serves all types.
     """
+    digest = F.sha2(F.concat_ws("|", F.lit(str(seed)), key, F.lit("types")), 256)
+
+    def lot(t: int) -> Column:
+        return F.substring(digest, (t - 1) * LOT_DIGITS + 1, LOT_DIGITS)
+
     lots = F.array(
         *(
             F.struct(
-                F.when(condition, draw(seed, key, F.lit(t))).otherwise(NOT_DRAWN).alias("drawn"),
-                F.lit(t).alias("type"),
+                F.when(condition, lot(t)).otherwise(NO_LOT).alias("lot"), F.lit(t).alias("type")
             )
             for t, condition in conditions.items()
         )
@@ -125,41 +131,47 @@ def picked_types(
     return F.slice(F.sort_array(lots), F.lit(1), F.least(F.lit(count), available))
 
 
-def _by_number(number: Column, choices: Mapping[int, Column]) -> Column:
-    chain = None
-    for value, column in choices.items():
-        test = number == value
-        chain = F.when(test, column) if chain is None else chain.when(test, column)
-    return chain
-
-
 def template_index(kind: Column, key: Column, seed: int) -> Column:
     """0-based template of the given type, uniform."""
-    sizes = _by_number(kind, {t: F.lit(len(texts)) for t, texts in TEMPLATES.items()})
-    return slot(draw(seed, key, kind, F.lit("template")), sizes)
+    sizes = F.array(*(F.lit(len(texts)) for texts in TEMPLATES.values()))
+    return slot(draw(seed, key, kind, F.lit("template")), F.element_at(sizes, kind))
 
 
-def fill(template: str, values: Mapping[str, Column]) -> Column:
-    """Expand a template in one pass: braces inside a value are never expanded again."""
-    pieces: list[Column | str] = []
-    for literal, field, _, _ in Formatter().parse(template):
-        if literal:
-            pieces.append(literal)
-        if field:
-            pieces.append(values[field])
-    return terms.say(*pieces)
+def _split(template: str) -> tuple[list[str], list[str]]:
+    """Literal pieces around at most two placeholders, and the names of those."""
+    parts = list(Formatter().parse(template))
+    fields = [field for _, field, _, _ in parts if field]
+    literals = [literal for literal, *_ in parts]
+    return (literals + [""] * 3)[:3], fields
 
 
 def question(kind: Column, template: Column, row: Mapping[str, Column]) -> Column:
-    """The question text; the long context is built only where type 9 was drawn."""
+    """The question text, filled in one pass: braces inside a value are never expanded again.
+
+    Templates are taken apart here, once; a row only looks its pieces up. The long context is
+    built only where a template asks for it.
+    """
     values = {**row, "context": terms.extraction_context(row)}
-    return _by_number(
-        kind,
-        {
-            t: _by_number(template, {i: fill(text, values) for i, text in enumerate(texts)})
-            for t, texts in TEMPLATES.items()
-        },
-    )
+    split = {t: [_split(text) for text in texts] for t, texts in TEMPLATES.items()}
+
+    def piece(place: int) -> Column:
+        table = F.array(*(F.array(*(F.lit(p[place]) for p, _ in s)) for s in split.values()))
+        return F.element_at(F.element_at(table, kind), template + 1)
+
+    def field(place: int) -> Column:
+        """All templates of a type share their fields."""
+        kinds: dict[str, list[int]] = {}
+        for t, templates in split.items():
+            names = {fields[place] if place < len(fields) else "" for _, fields in templates}
+            (name,) = names
+            kinds.setdefault(name, []).append(t)
+        empty = kinds.pop("", None)
+        chain = F.when(kind.isin(empty), F.lit("")) if empty else F
+        for name, those in kinds.items():
+            chain = chain.when(kind.isin(those), values[name])
+        return chain
+
+    return terms.say(piece(0), field(0), piece(1), field(1), piece(2))
 
 
 def response(kind: Column, row: Mapping[str, Column]) -> Column:

@@ -29,6 +29,11 @@ def term_variants(row: Row) -> Column:
     )
 
 
+def _term(row: Row) -> Column:
+    """The variants where a caller has them as column ``term`` already, or else their expression."""
+    return row["term"] if "term" in row else term_variants(row)
+
+
 def brief_meaning(row: Row) -> Column:
     """Text before the first full stop, closed by one."""
     return say(F.substring_index(row["Meaning"], ".", 1), ".")
@@ -41,7 +46,7 @@ def full_response(row: Row) -> Column:
     word = row["Headword"]
     return F.concat_ws(
         " ",
-        say(term_variants(row), "은(는) ", row["Meaning"]),
+        say(_term(row), "은(는) ", row["Meaning"]),
         say("☜ ", row["Abbreviation"]),
         say("이 용어는 ", row["Category"], "에 속한다."),
         say(word, "은(는) ", row["Hypernym"], "의 한 종류이다."),
@@ -67,7 +72,7 @@ def category_response(row: Row) -> Column:
 def classification_response(row: Row) -> Column:
     return F.concat_ws(
         " ",
-        say(term_variants(row), "은(는) ", row["Hypernym"], "의 한 종류입니다."),
+        say(_term(row), "은(는) ", row["Hypernym"], "의 한 종류입니다."),
         brief_meaning(row),
     )
 
@@ -83,13 +88,13 @@ def characteristics_response(row: Row) -> Column:
 def abbreviation_response(row: Row) -> Column:
     return F.concat_ws(
         " ",
-        say(row["Abbreviation"], "는(은) ", term_variants(row), "의 약어입니다."),
+        say(row["Abbreviation"], "는(은) ", _term(row), "의 약어입니다."),
         brief_meaning(row),
     )
 
 
 def mechanism_response(row: Row) -> Column:
-    return say(term_variants(row), "의 작동 원리는 다음과 같습니다: ", row["Meaning"])
+    return say(_term(row), "의 작동 원리는 다음과 같습니다: ", row["Meaning"])
 
 
 # Labels of the extraction context and the fields behind them, in output order.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from termloom.schemas import VOCAB_COLUMNS
+from termloom.schemas import OPTIONAL_COLUMNS, VOCAB_COLUMNS
 
 # The characters a Unicode-aware strip removes, as a regular-expression class body
 # that Java and RE2 read alike.
@@ -27,7 +27,7 @@ def is_valid(text: Column) -> Column:
 
 def valid(text: Column) -> Column:
     """The text itself, untrimmed, or NULL where it is blank."""
-    return F.when(is_valid(text), text)
+    return F.when(~text.rlike(BLANK_TEXT), text)
 
 
 def strip(text: Column) -> Column:
@@ -58,5 +58,5 @@ def with_vocab_columns(df: DataFrame) -> DataFrame:
 
 
 def blanks_to_null(df: DataFrame) -> DataFrame:
-    """Normalise every vocabulary field once, so later expressions only test for NULL."""
-    return df.withColumns({name: valid(F.col(name)) for name in VOCAB_COLUMNS})
+    """Normalise every optional field once, so later expressions only test for NULL."""
+    return df.withColumns({name: valid(F.col(name)) for name in OPTIONAL_COLUMNS})

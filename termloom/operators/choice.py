@@ -46,9 +46,13 @@ def with_choice(responses: DataFrame) -> DataFrame:
     ).withColumn("correct", F.coalesce(F.col("predicted") == F.col("answer"), F.lit(False)))
 
 
-def _accuracy() -> Column:
-    share = F.try_divide(F.sum("correct").cast("double"), F.sum("total"))
-    return F.coalesce(share, F.lit(0.0))
+def _share(correct: Column, total: Column) -> Column:
+    """Accuracy, 0 when there is nothing to answer."""
+    return F.coalesce(F.try_divide(correct.cast("double"), total), F.lit(0.0))
+
+
+def _totals() -> list[Column]:
+    return [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("correct", "total")]
 
 
 def by_subject(rows: DataFrame) -> DataFrame:
@@ -62,15 +66,16 @@ def accuracy(rows: DataFrame) -> DataFrame:
     """Accuracy per subject and overall; ``level`` tells the rows apart.
 
     The overall row is added up from the subject rows, so input rows are not doubled as a rollup
-    over them would do.
+    over them would do, and it is there without any input as well.
     """
     subjects = by_subject(rows)
-    return subjects.groupingSets([["subject"], []], "subject").agg(
-        F.when(F.grouping("subject") == 1, "overall").otherwise("subject").alias("level"),
-        _accuracy().alias("accuracy"),
-        F.coalesce(F.sum("correct"), F.lit(0)).alias("correct"),
-        F.coalesce(F.sum("total"), F.lit(0)).alias("total"),
-    )
+    overall = subjects.agg(*_totals()).withColumn("subject", F.lit(None).cast("string"))
+
+    def line(of: DataFrame, level: str) -> DataFrame:
+        share = _share(F.col("correct"), F.col("total")).alias("accuracy")
+        return of.select(F.lit(level).alias("level"), "subject", share, "correct", "total")
+
+    return line(subjects, "subject").unionAll(line(overall, "overall"))
 
 
 def correct_incorrect(rows: DataFrame) -> DataFrame:
@@ -82,18 +87,15 @@ def correct_incorrect(rows: DataFrame) -> DataFrame:
 
 def _summary(rows: DataFrame) -> DataFrame:
     """One row: accuracy, correct, total, by_subject. The map has one entry per subject."""
-    entry = F.struct(
-        F.try_divide(F.col("correct").cast("double"), F.col("total")).alias("accuracy"),
-        "correct",
-        "total",
-    )
-    return by_subject(rows).agg(
-        _accuracy().alias("accuracy"),
-        F.coalesce(F.sum("correct"), F.lit(0)).alias("correct"),
-        F.coalesce(F.sum("total"), F.lit(0)).alias("total"),
-        F.map_from_entries(
-            F.sort_array(F.collect_list(F.struct(F.col("subject").alias("key"), entry.alias("value"))))
-        ).alias("by_subject"),
+    share = _share(F.col("correct"), F.col("total")).alias("accuracy")
+    entry = F.struct(F.col("subject").alias("key"), F.struct(share, "correct", "total").alias("value"))
+    return (
+        by_subject(rows)
+        .agg(
+            *_totals(),
+            F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("by_subject"),
+        )
+        .select(share, "correct", "total", "by_subject")
     )
 
 

@@ -5,26 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def words(text: Column) -> Column:
-    return F.filter(F.split(text, r"\s+"), lambda word: word != "")
-
-
-def token_overlap_f1(
-    df: DataFrame, key: str, prediction: str, reference: str
-) -> DataFrame:
+def token_overlap_f1(df: DataFrame, key: str, prediction: str, reference: str) -> DataFrame:
     """Precision, recall and F1 per key: greedy matching over one-hot token vectors.
 
     Tokens are counted per key and word, so a long text is spread over tasks and no pair of
-    tokens is ever formed. Keys without any word keep a row of zeros.
+    tokens is ever formed. Splitting leaves an empty word in an empty text; it keeps the key and
+    is not counted.
     """
+
+    def words(side: str) -> Column:
+        return F.split(F.coalesce(F.col(side), F.lit("")), r"\s+")
+
     sides = F.array(
-        F.struct(F.lit(True).alias("predicted"), words(F.col(prediction)).alias("words")),
-        F.struct(F.lit(False).alias("predicted"), words(F.col(reference)).alias("words")),
+        F.struct(F.lit(True).alias("predicted"), words(prediction).alias("words")),
+        F.struct(F.lit(False).alias("predicted"), words(reference).alias("words")),
     )
     spoken = df.select(key, F.inline(sides)).select(
-        key, "predicted", F.explode_outer("words").alias("word")
+        key, "predicted", F.explode("words").alias("word")
     )
-    is_word = F.col("word").isNotNull()
+    is_word = F.col("word") != ""
     counted = spoken.groupBy(key, "word").agg(
         F.count_if(is_word & F.col("predicted")).alias("here"),
         F.count_if(is_word & ~F.col("predicted")).alias("there"),

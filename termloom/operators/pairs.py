@@ -7,20 +7,19 @@ from pyspark.sql import DataFrame, functions as F
 from termloom.functions import questions
 from termloom.functions.chat import to_messages
 from termloom.functions.hashing import row_key
+from termloom.functions.terms import term_variants
 from termloom.functions.validity import blanks_to_null, is_valid, with_vocab_columns
+from termloom.operators.combine import require_fields
 from termloom.schemas import REQUIRED_COLUMNS, VOCAB_COLUMNS
 
 SEED = 42
 
 
 def keyed_terms(df: DataFrame) -> DataFrame:
-    """Usable rows with ``row_key`` and blanks turned into NULL."""
-    rows = with_vocab_columns(df)
-    rows = rows.withColumn("row_key", row_key([F.col(c) for c in VOCAB_COLUMNS]))
-    rows = blanks_to_null(rows)
-    for name in REQUIRED_COLUMNS:
-        rows = rows.filter(F.col(name).isNotNull())
-    return rows
+    """Usable rows with ``row_key``, and with blank optional fields turned into NULL."""
+    rows = require_fields(with_vocab_columns(df))
+    keyed = rows.withColumn("row_key", row_key([F.col(c) for c in VOCAB_COLUMNS]))
+    return blanks_to_null(keyed)
 
 
 def row_fields() -> dict:
@@ -36,7 +35,7 @@ def explode_types(
     """One row per picked question type. Types are picked first, texts are built afterwards."""
     conditions = questions.type_conditions(row_fields(), max_original_word_chars)
     picked = questions.picked_types(conditions, F.col("row_key"), seed, pairs_per_row)
-    return terms.select("*", F.inline(picked)).drop("drawn")
+    return terms.select("*", F.inline(picked)).drop("lot")
 
 
 def qa_pairs(
@@ -49,15 +48,16 @@ def qa_pairs(
 
     Run it on deduplicated rows: then ``sample_id`` is unique.
     """
-    picked = explode_types(keyed_terms(df), seed, pairs_per_row, max_original_word_chars)
-    kind, key = F.col("type"), F.col("row_key")
+    named = keyed_terms(df).withColumn("term", term_variants(row_fields()))
+    picked = explode_types(named, seed, pairs_per_row, max_original_word_chars)
+    kind, key, row = F.col("type"), F.col("row_key"), {**row_fields(), "term": F.col("term")}
     chosen = picked.withColumn("template", questions.template_index(kind, key, seed))
     return chosen.select(
         F.md5(F.concat_ws("|", key, kind.cast("string"))).alias("sample_id"),
         "row_key",
         "type",
-        questions.question(kind, F.col("template"), row_fields()).alias("question"),
-        questions.response(kind, row_fields()).alias("response"),
+        questions.question(kind, F.col("template"), row).alias("question"),
+        questions.response(kind, row).alias("response"),
     )
 
 

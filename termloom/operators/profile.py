@@ -12,11 +12,12 @@ EVALS_PER_EPOCH = 10
 
 
 def length_histogram(lengths: DataFrame, column: str = "length") -> DataFrame:
-    """Rows per distinct length. Lengths are few, so everything below works on a small table."""
-    return (
-        lengths.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("bigint").alias("length"))
-        .agg(F.count("*").alias("samples"))
+    """Rows per distinct length. Lengths are few, so everything below works on a small table.
+
+    A NULL length counts no samples; filtering it out would measure every text twice.
+    """
+    return lengths.groupBy(F.col(column).cast("bigint").alias("length")).agg(
+        F.count(column).alias("samples")
     )
 
 

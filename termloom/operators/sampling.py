@@ -67,13 +67,22 @@ def split_size(ratio: float) -> callable:
     return lambda n: F.ceil(n.cast("double") * F.lit(ratio))
 
 
-def exact_fraction(
+def mark_fraction(
     df: DataFrame, key: str, ratio: float = TEST_RATIO, seed: int = SAMPLE_SEED
 ) -> DataFrame:
-    """Exactly ``max(1, int(n * ratio))`` rows; ``key`` must be unique."""
+    """Column ``held``, true for exactly ``max(1, int(n * ratio))`` rows; ``key`` must be unique.
+
+    Sample and rest then differ by a comparison per row, so no join takes them apart.
+    """
     drawn = with_draw(df, key, seed, "holdout")
     cut = cut_point(drawn, "drawn", fraction_size(ratio)).scalar()
-    return up_to(drawn, "drawn", cut).drop("drawn")
+    return drawn.withColumn("held", F.col("drawn") <= cut).drop("drawn")
+
+
+def exact_fraction(
+    df: DataFrame, key: str, ratio: float = TEST_RATIO, seed: int = SAMPLE_SEED
+) -> DataFrame:
+    return mark_fraction(df, key, ratio, seed).filter("held").drop("held")
 
 
 def label_split(
@@ -182,11 +191,11 @@ def exclude_holdout(
     return train.withColumn("_key", key).join(held, "_key", "left_anti").drop("_key")
 
 
-def leakage_report(train: DataFrame, evaluation: DataFrame) -> DataFrame:
-    """Evaluation rows whose question, pair or headword also occurs in training.
+def leakage_within(rows: DataFrame, held: Column) -> DataFrame:
+    """Held rows whose question, pair or headword also occurs in a row that is not held.
 
-    Both inputs hold ``question`` and ``ground_truth``. One grouped pass over digests answers the
-    three levels together: nothing is joined, and a question repeated in a third of the rows is
+    Rows hold ``question`` and ``ground_truth``. One grouped pass over digests answers the three
+    levels together: nothing is joined, and a question repeated in a third of the rows is
     combined before the shuffle.
     """
     question, truth = F.col("question"), F.col("ground_truth")
@@ -195,22 +204,35 @@ def leakage_report(train: DataFrame, evaluation: DataFrame) -> DataFrame:
         F.struct(F.lit("pair").alias("level"), row_key([question, truth]).alias("key")),
         F.struct(F.lit("headword").alias("level"), F.md5(extract_headword(truth)).alias("key")),
     )
+    keys = rows.select(F.inline(levels), held.alias("held")).filter("key is not null")
+    counted = keys.groupBy("level", "key").agg(
+        F.count_if("held").alias("held"), F.count_if(~F.col("held")).alias("trained")
+    )
 
-    def keys(rows: DataFrame, held: bool) -> DataFrame:
-        return rows.select(F.inline(levels), F.lit(held).alias("held")).filter("key is not null")
-
-    shared = keys(train, False).unionAll(keys(evaluation, True))
-    return (
-        shared.groupBy("level", "key")
-        .agg(F.count_if("held").alias("held"), F.count_if(~F.col("held")).alias("trained"))
-        .groupBy("level")
-        .agg(
-            F.sum("held").alias("evaluated"),
-            F.coalesce(F.sum(F.when(F.col("trained") > 0, F.col("held"))), F.lit(0)).alias(
-                "leaked"
-            ),
+    def total(level: str, leaked: bool) -> Column:
+        counts = (F.col("level") == level) & (F.col("trained") > 0 if leaked else F.lit(True))
+        return F.coalesce(F.sum(F.when(counts, F.col("held"))), F.lit(0))
+
+    report = F.array(
+        *(
+            F.struct(
+                F.lit(level).alias("level"),
+                total(level, False).alias("evaluated"),
+                total(level, True).alias("leaked"),
+            )
+            for level in ("question", "pair", "headword")
         )
     )
+    return counted.agg(report.alias("report")).select(F.inline("report"))
+
+
+def leakage_report(train: DataFrame, evaluation: DataFrame) -> DataFrame:
+    """``leakage_within`` for two tables."""
+    texts = ["question", "ground_truth"]
+    both = train.select(*texts, F.lit(False).alias("held")).unionAll(
+        evaluation.select(*texts, F.lit(True).alias("held"))
+    )
+    return leakage_within(both, F.col("held"))
 
 
 def requested_minus_found(requested: DataFrame, found: DataFrame, key: str) -> DataFrame:

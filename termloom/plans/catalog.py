@@ -325,10 +325,16 @@ def train_without_holdout(spark, sf_dir):
 
 @query
 def leakage_report(spark, sf_dir):
-    rows = _eval_rows(spark, sf_dir)
-    held = sampling.exact_fraction(rows, "sample_id")
-    train = sampling.exclude_holdout(rows, held, "sample_id")
-    return sampling.leakage_report(train, held)
+    marked = sampling.mark_fraction(_eval_rows(spark, sf_dir), "sample_id")
+    return sampling.leakage_within(marked, F.col("held"))
+
+
+@query
+def leakage_between_tables(spark, sf_dir):
+    """Odd conversations as training rows, even ones as evaluation rows."""
+    rows = _chat_pairs(spark, sf_dir)
+    odd = F.col("conv_id") % 2 == 1
+    return sampling.leakage_report(rows.filter(odd), rows.filter(~odd))
 
 
 @query

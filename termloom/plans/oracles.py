@@ -148,11 +148,12 @@ def keyed(source: str) -> str:
 
 
 def picked(source: str, by: str) -> str:
-    rank = (
-        f"row_number() over (partition by {by} order by"
-        f" {drawn(42, 'row_key', 'cast(type as varchar)')})"
+    lot = "substr(sha256(concat_ws('|', '42', row_key, 'types')), (type - 1) * 7 + 1, 7)"
+    rank = f"row_number() over (partition by {by} order by {lot}, type)"
+    return (
+        f"select * exclude (lot) from (select *, {rank} as lot from ({types_of(source)}))"
+        " where lot <= 4"
     )
-    return f"select * exclude (lot) from (select *, {rank} as lot from ({types_of(source)})) where lot <= 4"
 
 
 def hit(number: str) -> str:
@@ -227,6 +228,18 @@ def letter(number: str, otherwise: str) -> str:
 HEADWORD = "nullif(regexp_extract(ground_truth, '^([가-힣]+)', 1), '')"
 ABBREVIATION = f"nullif(regexp_extract(ground_truth, {quoted(grading.ABBREVIATION)}, 1), '')"
 
+
+def leakage(held: str, kept: str) -> str:
+    return (
+        "select 'question' as level, count(*) as evaluated,"
+        f" {hit(f'question in (select question from {kept})')} as leaked from {held} union all"
+        " select 'pair', count(*), count(*) filter (where (question, ground_truth) in"
+        f" (select (question, ground_truth) from {kept})) from {held} union all"
+        f" select 'headword', count(*), {hit(f'h in (select {HEADWORD} from {kept})')} from"
+        f" (select {HEADWORD} as h from {held}) where h is not null"
+    )
+
+
 WITH = {name: standin_sql(name) for name in VIEWS}
 WITH |= {
     "vocab_rows": f"select distinct {COLS} from vocab",
@@ -375,13 +388,10 @@ SQL: dict[str, str] = {
         f"select sample_id, question from pairs qualify {position(42, 'sample_id', 'shuffle')} <= 3"
     ),
     "train_without_holdout": "select sample_id, question from kept",
-    "leakage_report": (
-        "select 'question' as level, count(*) as evaluated,"
-        f" {hit('question in (select question from kept)')} as leaked from held union all"
-        " select 'pair', count(*), count(*) filter (where (question, ground_truth) in"
-        " (select (question, ground_truth) from kept)) from held union all"
-        f" select 'headword', count(*), {hit(f'h in (select {HEADWORD} from kept)')} from"
-        f" (select {HEADWORD} as h from held) where h is not null"
+    "leakage_report": leakage("held", "kept"),
+    "leakage_between_tables": leakage(
+        "(select * from chat_pairs where conv_id % 2 = 0)",
+        "(select * from chat_pairs where conv_id % 2 = 1)",
     ),
     "stratified_sample": (
         "select doc_id, lang from documents qualify row_number() over (partition by lang order by"

@@ -23,6 +23,7 @@ VOCAB_HEADERS = {
 
 VOCAB_COLUMNS = list(VOCAB_HEADERS.values())
 REQUIRED_COLUMNS = ["Headword", "Meaning"]
+OPTIONAL_COLUMNS = [name for name in VOCAB_COLUMNS if name not in REQUIRED_COLUMNS]
 
 
 def _texts(*names: str) -> T.StructType:
