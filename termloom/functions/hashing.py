@@ -16,11 +16,16 @@ SLOT_SPAN = 16**SLOT_DIGITS
 
 
 def row_key(columns: Sequence[Column]) -> Column:
-    """Digest of whole rows. Lengths go in front of the values, so no two rows share a text."""
-    parts = [
-        F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("N"))
-        for c in (column.cast("string") for column in columns)
-    ]
+    """Digest of whole rows.
+
+    The size of each value goes in front of it, so no two rows share a text. Sizes are in bytes:
+    those are known without reading the value.
+    """
+    parts = []
+    for column in columns:
+        text = column.cast("string")
+        parts.append(F.coalesce(F.octet_length(text).cast("string"), F.lit("N")))
+        parts.append(F.coalesce(text, F.lit("")))
     return F.md5(F.concat_ws("|", *parts))
 
 

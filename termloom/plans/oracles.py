@@ -26,7 +26,7 @@ def drawn(seed: int, *parts: str) -> str:
 
 
 def digest(columns: list[str]) -> str:
-    parts = [f"coalesce(cast(length({c}) as varchar) || ':' || {c}, 'N')" for c in columns]
+    parts = [f"coalesce(cast(strlen({c}) as varchar), 'N'), coalesce({c}, '')" for c in columns]
     return f"md5(concat_ws('|', {', '.join(parts)}))"
 
 
