@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from termloom.functions.hashing import row_key
-from termloom.functions.validity import is_valid
-from termloom.schemas import REQUIRED_COLUMNS, VOCAB_HEADERS
+from termloom.functions.validity import is_valid, with_vocab_columns
+from termloom.schemas import REQUIRED_COLUMNS, VOCAB_COLUMNS, VOCAB_HEADERS
 
 
 def rename_vocab(df: DataFrame, headers: Mapping[str, str] = VOCAB_HEADERS) -> DataFrame:
@@ -27,6 +27,18 @@ def require_fields(df: DataFrame) -> DataFrame:
     return df.filter(reduce(lambda a, b: a & b, keep))
 
 
+def with_row_key(df: DataFrame) -> DataFrame:
+    """Adds ``row_key``, a digest of all columns, the vocabulary columns first.
+
+    Digests cost a pass over the texts, so a key that is there already is kept.
+    """
+    if "row_key" in df.columns:
+        return df
+    rows = with_vocab_columns(df)
+    names = VOCAB_COLUMNS + [name for name in rows.columns if name not in VOCAB_COLUMNS]
+    return rows.withColumn("row_key", row_key([F.col(f"`{name}`") for name in names]))
+
+
 def drop_duplicates(df: DataFrame) -> DataFrame:
     """One of each identical row, NULL equal to NULL.
 

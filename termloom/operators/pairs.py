@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from termloom.functions import questions
 from termloom.functions.chat import to_messages
-from termloom.functions.hashing import row_key
 from termloom.functions.terms import term_variants
 from termloom.functions.validity import blanks_to_null, is_valid, with_vocab_columns
-from termloom.operators.combine import require_fields
+from termloom.operators.combine import require_fields, with_row_key
 from termloom.schemas import REQUIRED_COLUMNS, VOCAB_COLUMNS
 
 SEED = 42
@@ -17,9 +16,7 @@ SEED = 42
 
 def keyed_terms(df: DataFrame) -> DataFrame:
     """Usable rows with ``row_key``, and with blank optional fields turned into NULL."""
-    rows = require_fields(with_vocab_columns(df))
-    keyed = rows.withColumn("row_key", row_key([F.col(c) for c in VOCAB_COLUMNS]))
-    return blanks_to_null(keyed)
+    return blanks_to_null(with_row_key(require_fields(with_vocab_columns(df))))
 
 
 def row_fields() -> dict:
@@ -46,7 +43,8 @@ def qa_pairs(
 ) -> DataFrame:
     """``(sample_id, row_key, type, question, response)``, without any shuffle.
 
-    Run it on deduplicated rows: then ``sample_id`` is unique.
+    Run it on deduplicated rows: then ``sample_id`` is unique. Rows that bring their ``row_key``
+    spare the digest.
     """
     named = keyed_terms(df).withColumn("term", term_variants(row_fields()))
     picked = explode_types(named, seed, pairs_per_row, max_original_word_chars)

@@ -138,11 +138,11 @@ def types_of(source: str) -> str:
     )
 
 
-def keyed(source: str) -> str:
+def keyed(source: str, *others: str) -> str:
     """Row key over the raw values, then blanks to NULL, then rows with the required fields."""
     cleaned = ", ".join(f"case when {is_valid(c)} then {c} end as {c}" for c in VOCAB_COLUMNS)
     return (
-        f"select * from (select * exclude ({COLS}), {digest(VOCAB_COLUMNS)} as row_key, {cleaned}"
+        f"select * from (select * exclude ({COLS}), {digest([*VOCAB_COLUMNS, *others])} as row_key, {cleaned}"
         f" from {source}) where Headword is not null and Meaning is not null"
     )
 
@@ -243,7 +243,7 @@ def leakage(held: str, kept: str) -> str:
 WITH = {name: standin_sql(name) for name in VIEWS}
 WITH |= {
     "vocab_rows": f"select distinct {COLS} from vocab",
-    "usable_docs": keyed("vocab"),
+    "usable_docs": keyed("vocab", "cast(doc_id as varchar)"),
     "usable_rows": keyed("vocab_rows"),
     "doc_types": picked("usable_docs", "doc_id"),
     "row_types": picked("usable_rows", "row_key"),

@@ -12,7 +12,7 @@ from termloom.functions import lengths as length_functions
 from termloom.functions.chat import messages_to_eval, render_pair, to_messages
 from termloom.functions.hashing import draw
 from termloom.operators import choice, compare, inference, profile, recall, sampling
-from termloom.operators.combine import drop_duplicates, rename_vocab
+from termloom.operators.combine import drop_duplicates, rename_vocab, with_row_key
 from termloom.operators.ordering import cut_point, row_index, shuffle_rows, up_to
 from termloom.operators.pairs import count_by_type, qa_pairs
 from termloom.sources.jsonl import write_jsonl
@@ -21,8 +21,11 @@ SHUFFLE_SALT = "shuffle"
 
 
 def training_pairs(vocab: DataFrame, seed: int = sampling.SAMPLE_SEED) -> DataFrame:
-    """Deduplicated rows to pairs: one shuffle, for the deduplication."""
-    return qa_pairs(drop_duplicates(rename_vocab(vocab)), seed)
+    """Deduplicated rows to pairs: one shuffle, for the deduplication.
+
+    Keys are made in front of it, so plans that read its output several times do not repeat them.
+    """
+    return qa_pairs(drop_duplicates(with_row_key(rename_vocab(vocab))), seed)
 
 
 def shuffled_chats(pairs: DataFrame, seed: int = sampling.SAMPLE_SEED) -> DataFrame:
