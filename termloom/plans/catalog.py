@@ -331,10 +331,12 @@ def leakage_report(spark, sf_dir):
 
 @query
 def leakage_between_tables(spark, sf_dir):
-    """Odd conversations as training rows, even ones as evaluation rows."""
-    rows = _chat_pairs(spark, sf_dir)
-    odd = F.col("conv_id") % 2 == 1
-    return sampling.leakage_report(rows.filter(odd), rows.filter(~odd))
+    """Labelled documents as training rows, the others as evaluation rows."""
+    rows = standin(spark, sf_dir, "predictions")
+    labelled = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("sample_id"))
+    return sampling.leakage_report(
+        rows.join(labelled, "sample_id", "left_semi"), rows.join(labelled, "sample_id", "left_anti")
+    )
 
 
 @query

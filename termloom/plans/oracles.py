@@ -390,8 +390,8 @@ SQL: dict[str, str] = {
     "train_without_holdout": "select sample_id, question from kept",
     "leakage_report": leakage("held", "kept"),
     "leakage_between_tables": leakage(
-        "(select * from chat_pairs where conv_id % 2 = 0)",
-        "(select * from chat_pairs where conv_id % 2 = 1)",
+        "(select * from predictions where sample_id not in (select doc_id from labels))",
+        "(select * from predictions where sample_id in (select doc_id from labels))",
     ),
     "stratified_sample": (
         "select doc_id, lang from documents qualify row_number() over (partition by lang order by"

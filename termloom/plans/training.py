@@ -51,6 +51,15 @@ def build_training_data(
     return count_by_type(pairs)
 
 
+def pairs_from_chats(chats: DataFrame) -> DataFrame:
+    """Stored chats (``messages``) as keyed pairs. Repeated chats stay separate rows.
+
+    Keys come from a grouping of all texts, so write the result before preparing it.
+    """
+    texts = chats.select(*messages_to_eval(F.col("messages")))
+    return sampling.with_sample_id(texts).withColumnRenamed("ground_truth", "response")
+
+
 @dataclass
 class Prepared:
     """What the preparation of training data yields."""
@@ -106,12 +115,18 @@ def answer(
     samples: DataFrame,
     load_model: Callable[[], inference.Predict],
     prompt: Column,
+    path: str,
     output: str = "prediction",
     batch_size: int = inference.GENERIC_BATCH,
 ) -> DataFrame:
-    return inference.predict_batches(
+    """Answers of a model, written to ``path`` once and read back.
+
+    Reports and details are separate jobs; over unwritten answers each would ask the model again.
+    """
+    inference.predict_batches(
         samples.withColumn("_prompt", prompt), load_model, "_prompt", output, batch_size
-    ).drop("_prompt")
+    ).drop("_prompt").write.mode("overwrite").parquet(path)
+    return samples.sparkSession.read.parquet(path)
 
 
 def evaluate_recall(

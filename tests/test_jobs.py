@@ -62,13 +62,24 @@ def test_preparation(spark, stored):
         training.prepare(made, mode="other", skip_analysis=True)
 
 
+def test_preparation_from_a_chat_file(spark, stored):
+    chats = jsonl.read_chat_jsonl(spark, stored[2])
+    twice = training.pairs_from_chats(chats.unionAll(chats))
+    n = 2 * stored[1].count()
+    assert twice.count() == n == twice.select("sample_id").distinct().count()
+    ready = training.prepare(twice)
+    assert ready.num_samples == n and ready.holdout.count() == int(n * 0.05)
+    assert ready.train.count() == n - int(n * 0.05)
+
+
 def load_echo():
     return lambda prompts: [p.split("\n")[1].split("<")[0] for p in prompts]
 
 
-def test_answers_to_reports(spark, stored):
+def test_answers_to_reports(spark, stored, tmp_path):
     held = training.prepare(stored[1], skip_analysis=True).holdout
-    answered = training.answer(held, load_echo, render_prompt(F.col("question")), batch_size=3)
+    prompt = render_prompt(F.col("question"))
+    answered = training.answer(held, load_echo, prompt, str(tmp_path / "answers"), batch_size=3)
     report, details = training.evaluate_recall(
         answered.withColumn("score", F.lit(0.8)), "run", "now"
     )
