@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from termloom.functions import grading
+from termloom.schemas import CHOICE_REPORT
 
 
 def choice_items(
@@ -120,7 +121,7 @@ def choice_report(
             F.lit(None).cast("boolean").alias("drop_acceptable"), enough.alias("min_accuracy_met")
         )
         return (
-            scored.withColumn("base", F.lit(None).cast(_base_type()))
+            scored.withColumn("base", F.lit(None).cast(CHOICE_REPORT["base"].dataType))
             .withColumn("performance_drop", F.lit(None).cast("double"))
             .withColumn("passed", passed)
             .withColumn("overall_passed", F.col("passed.min_accuracy_met"))
@@ -142,12 +143,6 @@ def choice_report(
     )
 
 
-def _base_type():
-    from termloom.schemas import CHOICE_REPORT
-
-    return CHOICE_REPORT["base"].dataType
-
-
 def choice_details(rows: DataFrame, index: str = "row_index") -> DataFrame:
     """One line per item."""
     return rows.select(

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from termloom.functions.hashing import DRAW_DIGITS, slot
 from termloom.session import cut_lineage
 
 # 16**4 = 65,536 counters at most per pass: a fixed bound, whatever the number of rows.
@@ -22,7 +23,7 @@ def _crossing(counts: DataFrame, before: Column, wanted: Column) -> DataFrame:
     upto = before + F.sum("rows").over(running)
     return (
         counts.select("head", "rows", upto.alias("upto"), wanted.alias("wanted"))
-        .filter((F.col("upto") - F.col("rows") < F.col("wanted")) & (F.col("upto") >= F.col("wanted")))
+        .filter("upto - rows < wanted and upto >= wanted")
         .select(
             F.struct(
                 "head", (F.col("upto") - F.col("rows")).alias("before"), "wanted"
@@ -48,7 +49,7 @@ def cut_point(df: DataFrame, drawn: str, size: Callable[[Column], Column]) -> Da
     at = _crossing(
         counts(draws, STEP_DIGITS), F.lit(0), F.least(size(total).cast("bigint"), total)
     )
-    for digits in (2 * STEP_DIGITS, 32):
+    for digits in (2 * STEP_DIGITS, DRAW_DIGITS):
         here = at.scalar()
         inside = draws.filter(F.col("drawn").startswith(here["head"]))
         at = _crossing(counts(inside, digits), here["before"], here["wanted"])
@@ -122,8 +123,6 @@ def shuffle_rows(df: DataFrame, drawn: str, partitions: int | None = None) -> Da
     their range. ``orderBy`` would read the input twice to sample its range bounds. The order is
     the same for any number of partitions.
     """
-    from termloom.functions.hashing import slot
-
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     target = slot(F.col(drawn), F.lit(partitions))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from termloom.functions.grading import extract_headword
@@ -57,12 +59,12 @@ def with_sample_id(df: DataFrame) -> DataFrame:
     )
 
 
-def fraction_size(ratio: float) -> callable:
+def fraction_size(ratio: float) -> Callable[[Column], Column]:
     """max(1, truncated share): the size of the held-out evaluation sample."""
     return lambda n: F.greatest(F.floor(n.cast("double") * F.lit(ratio)), F.lit(1))
 
 
-def split_size(ratio: float) -> callable:
+def split_size(ratio: float) -> Callable[[Column], Column]:
     """Share rounded up: the size of a validation split."""
     return lambda n: F.ceil(n.cast("double") * F.lit(ratio))
 

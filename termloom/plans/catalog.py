@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from termloom.functions import chat, grading, lengths, questions, terms, tokens, validity
+from termloom.functions import chat, lengths, questions, terms, tokens, validity
 from termloom.functions.hashing import draw
 from termloom.functions.similarity import greedy_match_f1
 from termloom.operators import (

@@ -40,9 +40,8 @@ def cell(value):
     return str(value)
 
 
-def differences(spark, con, sf_dir: str, build, sql: str) -> list[str]:
-    """Empty when both sides give the same columns and the same rows."""
-    df = build(spark, sf_dir)
+def differences(df, con, sql: str) -> list[str]:
+    """Empty when both sides give the same columns, types and rows."""
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     if sorted(df.columns) != sorted(names):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions.chat import render_prompt
 from termloom.operators import choice, combine, pairs, sampling
-from termloom.plans import catalog, training
+from termloom.plans import training
 from termloom.plans.standins import standin
 from termloom.sources import jsonl, vocab_csv
 from termloom.streaming import feed
@@ -144,9 +144,3 @@ def test_stratified_sample_prunes_before_the_shuffle(stored):
 def test_shuffled_rows_are_read_once(stored):
     text = plan(training.shuffled_chats(stored[1]))
     assert text.count("Exchange") == 1 and "rangepartitioning" not in text
-
-
-@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
-def test_no_cross_joins(spark, name):
-    text = plan(catalog.QUERIES[name](spark, SF_DIR))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
