@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import decontaminate, ngram_jaccard
+from termloom.llm import decontaminate, language, ngram_jaccard, packing, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """The default tokenizer file, where the public vocabularies are installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op2_decontaminate(spark, sf_dir):
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -24,6 +31,28 @@ def op2_decontaminate(spark, sf_dir):
     )
 
 
+def op4_secrets(spark, sf_dir):
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, secrets.BASE), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op7_packing(spark, sf_dir, tokenizer=None):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer or vocabulary())
+
+
+def op8_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, docs.filter(~language.held_out(F.col("doc_id"))))
+
+
 def op10_ngram_jaccard(spark, sf_dir):
     return ngram_jaccard.jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -32,6 +61,9 @@ QUERIES = {
     f.__name__: f
     for f in (
         op2_decontaminate,
+        op4_secrets,
+        op7_packing,
+        op8_language,
         op10_ngram_jaccard,
     )
 }
