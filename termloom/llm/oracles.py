@@ -15,4 +15,21 @@ select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hi
 from d left join words_hit using (doc_id) left join items using (doc_id)
 """
 
-SQL = {"op2_decontaminate": DECONTAMINATE}
+#: Rules on hosts and paths; aliases by normalised URL (the given pages declare
+#: no canonical or refresh links; those are tested against brute force).
+URL_FILTER = r"""
+with p as (select page_id, url from pages),
+u as (select url, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') as path,
+    list_sort(list_filter(string_split(regexp_extract(coalesce(url, ''), '^.*?://[^?#]*\?([^#]*)', 1, 's'), '&'), lambda x: x <> '' and not regexp_matches(x, '^(utm_|ref=)'))) as q
+  from (select url from p union select null)),
+n as (select url, host, path, host || regexp_replace(path, '/+$', '') || case when len(q) > 0 then '?' || array_to_string(q, '&') else '' end as node from u),
+rules (h, r, v) as (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+own as (select url, max_by(h || r, length(h || r)) as rule, max_by(v, length(h || r)) as verdict from n, rules
+  where (host = h or ends_with(host, '.' || h)) and starts_with(path, r) group by url),
+comp as (select node, max(case when verdict = 'allow' then 1 else 0 end) as allowed from n join own using (url) group by node)
+select page_id, n.host as host, n.path as path, own.rule as rule, coalesce(own.verdict, case when comp.allowed = 0 then 'block' else 'allow' end) as verdict
+from p join n on p.url is not distinct from n.url left join own on own.url = p.url left join comp on comp.node = n.node
+"""
+
+SQL = {"op2_decontaminate": DECONTAMINATE, "op3_url_filter": URL_FILTER}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import decontaminate, language, ngram_jaccard, packing, secrets
+from termloom.llm import decontaminate, embedding_forest, language, ngram_jaccard, packing, secrets, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,16 @@ def op2_decontaminate(spark, sf_dir):
     )
 
 
+# Fixed values of the query: host, path, verdict.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op3_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    rules = spark.createDataFrame(URL_RULES, "rule_host string, rule_path string, verdict string")
+    return urls.judge(pages, rules, urls.declared_edges(pages))
+
+
 def op4_secrets(spark, sf_dir):
     found = secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -44,6 +54,10 @@ def op4_secrets(spark, sf_dir):
     return found.select("doc_id", *map(count, secrets.BASE), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def op5_embedding_forest(spark, sf_dir):
+    return embedding_forest.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_packing(spark, sf_dir, tokenizer=None):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer or vocabulary())
 
@@ -61,7 +75,9 @@ QUERIES = {
     f.__name__: f
     for f in (
         op2_decontaminate,
+        op3_url_filter,
         op4_secrets,
+        op5_embedding_forest,
         op7_packing,
         op8_language,
         op10_ngram_jaccard,
