@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import decontaminate, embedding_forest, language, ngram_jaccard, packing, secrets, urls
+from termloom.llm import decontaminate, embedding_forest, language, ngram_jaccard, packing, secrets, urls, weak_quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,12 @@ def op5_embedding_forest(spark, sf_dir):
     return embedding_forest.link_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op6_weak_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = weak_quality.with_score(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", F.round("quality_score_", 6).alias("score"), (F.col("quality_score_") >= 0.5).alias("keep"))
+
+
 def op7_packing(spark, sf_dir, tokenizer=None):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer or vocabulary())
 
@@ -78,6 +84,7 @@ QUERIES = {
         op3_url_filter,
         op4_secrets,
         op5_embedding_forest,
+        op6_weak_quality,
         op7_packing,
         op8_language,
         op10_ngram_jaccard,
