@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import decontaminate, embedding_forest, language, ngram_jaccard, packing, secrets, urls, weak_quality
+from termloom.llm import decontaminate, embedding_forest, language, ngram_jaccard, packing, secrets, surrogates, urls, weak_quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,15 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Key of the registered query; a deployment passes its own.
+PII_KEY = "registered-query"
+
+
+def op1_surrogates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.pseudonymise(docs, PII_KEY).select("doc_id", "text", F.col("n_entities_").cast("bigint").alias("n_entities"))
+
+
 def op2_decontaminate(spark, sf_dir):
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -80,6 +89,7 @@ def op10_ngram_jaccard(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_surrogates,
         op2_decontaminate,
         op3_url_filter,
         op4_secrets,

@@ -39,6 +39,11 @@ def bare(word: str) -> str:
     return _EDGE.sub("", word).lower()
 
 
+def stems(word: str) -> tuple[str, ...]:
+    """A word and its beginnings, so that forms of one stem count together."""
+    return (word, word[:4] + "*", word[:6] + "*") if word else ()
+
+
 def traits(text: str, words: list[str]) -> tuple[float, ...]:
     """Shares of foreign marks and of capitals, marks alone, exclamations, and repetition by words and by bytes."""
     raw = text.encode()
@@ -97,8 +102,10 @@ def learn_insults(docs: DataFrame, labels: DataFrame) -> frozenset[str]:
     marked = marked.filter(F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1_000_000)) < int(1_000_000 * share))
     kinds = {r.toxic: r["count"] for r in marked.groupBy("toxic").count().collect()}
     toxic, other = kinds.get(1, 0), max(1, kinds.get(0, 0))
-    words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+"))
-    each = docs.select("doc_id", "text").join(marked, "doc_id").select("toxic", F.explode(words).alias("w")).filter("w <> ''")
+    words = F.array_distinct(F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+"), lambda w: w != ""))
+    starts = (F.transform(words, lambda w: F.concat(F.substring(w, 1, n), F.lit("*"))) for n in (4, 6))
+    each = docs.select("doc_id", "text").join(marked, "doc_id")
+    each = each.select("toxic", F.explode(F.array_distinct(F.concat(words, *starts))).alias("w"))
     counts = each.groupBy("w").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o"))
     odds = (F.col("t") / max(1, toxic)) / ((F.col("o") + 1) / other)
     kept = counts.filter(F.col("t") >= max(INSULT_DOCS, toxic // 50)).withColumn("odds", odds).filter(F.col("odds") >= INSULT_RATIO)
@@ -114,8 +121,8 @@ def _votes(shared):
                 text = text.as_py() or ""
                 words = text.split()
                 t = traits(text, words)
-                distinct = {bare(w) for w in set(words)} - {""}
-                patterns.append("".join(map(str, votes(t, len(distinct & insults), len(words)))))
+                distinct = {s for w in set(words) for s in stems(bare(w))}
+                patterns.append("".join(map(str, votes(t, len(insults.intersection(distinct)), len(words)))))
                 places.append(sorted({place_of(w) for w in [*distinct, *traits_as_words(t)]}))
             yield pa.RecordBatch.from_arrays([pa.array(patterns, pa.string()), pa.array(places, pa.list_(pa.int32()))], names=["pattern", "places"])
 
@@ -131,7 +138,9 @@ def _patterns(shared):
                 words = text.split()
                 if len(bares) > KNOWN:
                     bares.clear()
-                hit = {bares[w] if w in bares else bares.setdefault(w, bare(w)) for w in set(words)} & insults
+                new = (w for w in set(words) if w not in bares)
+                bares.update((w, frozenset(insults.intersection(stems(bare(w))))) for w in new)
+                hit = frozenset().union(*(bares[w] for w in words))
                 counts["".join(map(str, votes(traits(text, words), len(hit), len(words))))] += 1
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["pattern", "n"])
 
@@ -205,11 +214,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
 def _score(shared, text_at: int):
     def run(batches):
         weights = shared.value
-        known: dict[str, tuple[str, float]] = {}
+        known: dict[str, tuple[tuple[int, float], ...]] = {}
 
-        def look(raw: str) -> tuple[str, float]:
-            word = bare(raw)
-            known[raw] = (word, float(weights[place_of(word)]) if word else 0.0)
+        def look(raw: str) -> tuple[tuple[int, float], ...]:
+            places = (place_of(s) for s in stems(bare(raw)))
+            known[raw] = tuple((p, float(weights[p])) for p in places if weights[p])
             return known[raw]
 
         for batch in batches:
@@ -223,7 +232,7 @@ def _score(shared, text_at: int):
                 if len(known) > KNOWN:
                     known.clear()
                 total = float(weights[-1])
-                total += sum(dict(known[w] if w in known else look(w) for w in set(words)).values())
+                total += sum(dict(x for w in set(words) for x in (known[w] if w in known else look(w))).values())
                 total += sum(float(weights[place_of(w)]) for w in traits_as_words(traits(text, words)))
                 out.append(float(1 / (1 + np.exp(-np.clip(total, -50, 50)))))
             yield batch.append_column("quality_score_", pa.array(out, pa.float64()))
