@@ -24,6 +24,8 @@ from termloom.llm.storage import spread, stored
 
 #: Members of one key within one task beyond which they skip the exchange by key.
 LOCAL_HOT = 16
+#: Documents to verify are found by a broadcast of their ids up to this many, by a shuffle beyond.
+BROADCAST_ROWS = 1_000_000
 #: The words of the fixed-width sketch.
 SKETCH = [f"s{i}" for i in range(8)]
 #: Documents up to this size take every shingle as a part of its own.
@@ -51,6 +53,20 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(hashes: np.ndarray) -> bytes:
+    """Parity at a number of places that grows with the set (a power of two, at least four times its size)."""
+    bits = 1 << max(6, (4 * len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes >> _U(8)).astype(np.int64) % bits, minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def wide_distance(x: np.ndarray, y: np.ndarray) -> int:
+    """Hamming distance at the narrower width; the wider one folds onto it, as its places do."""
+    if len(x) > len(y):
+        x, y = y, x
+    return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum())
+
+
 def band(n: int) -> int:
     return max(int(n).bit_length(), SMALL.bit_length() - 1)
 
@@ -87,8 +103,9 @@ def _describe(size: int):
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([signature(s) for s in sets], pa.int64()),
                     *(pa.array(c, pa.int64()) for c in np.array([sketch(s) for s in sets]).reshape(-1, len(SKETCH)).T),
+                    pa.array([wide_sketch(s) for s in sets], pa.binary()),
                 ],
-                names=["doc_id", "n", "sig", *SKETCH],
+                names=["doc_id", "n", "sig", *SKETCH, "wide"],
             )
 
     return run
@@ -202,10 +219,29 @@ def _verified(threshold_pct: int):
     return run
 
 
+def _near(threshold_pct: int):
+    def run(batches):
+        for batch in batches:
+            keep = [
+                wide_distance(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) * (100 + threshold_pct)
+                <= (100 - threshold_pct) * n
+                for x, y, n in zip(batch.column(2), batch.column(3), batch.column(4).to_pylist(), strict=True)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, threshold_pct: int) -> DataFrame:
-    """The pairs (a, b) of set names whose whole sets are similar enough."""
+    """The pairs (a, b) of set names whose whole sets are similar enough; wide sketches are compared before."""
+    wide = classes.select("sig", "n", "wide")
+    both = pairs.join(wide.select(F.col("sig").alias("a"), F.col("n").alias("m"), F.col("wide").alias("x")), "a")
+    both = both.join(wide.select(F.col("sig").alias("b"), "n", F.col("wide").alias("y")), "b")
+    both = both.select("a", "b", "x", "y", (F.col("m") + F.col("n")).alias("n"))
+    pairs = stored(both.mapInArrow(_near(threshold_pct), "a long, b long"))
     wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
-    texts = docs.join(wanted.join(classes, "sig").select("sig", F.col("rep").alias("doc_id")), "doc_id")
+    wanted = stored(wanted.join(classes, "sig").select("sig", F.col("rep").alias("doc_id")))
+    texts = docs.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, "doc_id")
     sets = stored(texts.select("sig", "text").mapInArrow(_set_blobs(size), "sig long, hashes binary"))
     left = sets.select(F.col("sig").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("sig").alias("b"), F.col("hashes").alias("y"))
@@ -214,13 +250,11 @@ def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, th
 
 
 def _may_link(threshold_pct: int):
-    """Sizes and sketches allow the similarity, and the two are not in one component already."""
+    """Sizes and sketches of x and y allow the similarity."""
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
     bits = sum((F.bit_count(x(c).bitwiseXOR(y(c))) for c in SKETCH[1:]), F.bit_count(x(SKETCH[0]).bitwiseXOR(y(SKETCH[0]))))
     return (
-        (x("sig") < y("sig"))
-        & (x("comp") != y("comp"))
-        & (100 * F.least(x("n"), y("n")) >= threshold_pct * F.greatest(x("n"), y("n")))
+        (100 * F.least(x("n"), y("n")) >= threshold_pct * F.greatest(x("n"), y("n")))
         & (bits * (100 + threshold_pct) <= (100 - threshold_pct) * (x("n") + y("n")))
     )
 
@@ -235,23 +269,23 @@ def jaccard_join(docs: DataFrame, size: int = 5, threshold_pct: int = 75) -> Dat
     gives an empty result. Other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
-    described = docs.mapInArrow(_describe(size), "doc_id long, n long, sig long" + "".join(f", {c} long" for c in SKETCH))
+    described = docs.mapInArrow(_describe(size), "doc_id long, n long, sig long" + "".join(f", {c} long" for c in SKETCH) + ", wide binary")
     described = stored(described)
     classes = stored(
-        described.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), *(F.max(c).alias(c) for c in ("n", *SKETCH)))
+        described.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), *(F.max(c).alias(c) for c in ("n", *SKETCH, "wide")))
     )
     shuffle = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blobs = docs.select("text").mapInArrow(_key_blobs(size, threshold_pct, shuffle), "bucket long, hot int, entries binary")
     members = blobs.repartition(shuffle, "bucket").mapInArrow(_repeated, "key long, sig long")
-    members = stored(members.distinct())
+    members = stored(members)
 
     # First every member against the smallest of its key, which settles groups of near copies.
-    sizes = classes.select("sig", "n")
+    sketches = classes.select("sig", F.struct("n", *SKETCH).alias("v"))
     least = members.groupBy("key").agg(F.min("sig").alias("least"))
     pairs = members.join(least, "key").filter("sig <> least").select(F.col("least").alias("a"), F.col("sig").alias("b")).distinct()
-    pairs = pairs.join(sizes.select(F.col("sig").alias("a"), F.col("n").alias("na")), "a")
-    pairs = pairs.join(sizes.select(F.col("sig").alias("b"), F.col("n").alias("nb")), "b")
-    pairs = stored(pairs.filter(100 * F.least("na", "nb") >= threshold_pct * F.greatest("na", "nb")).select("a", "b"))
+    pairs = pairs.join(sketches.select(F.col("sig").alias("a"), F.col("v").alias("x")), "a")
+    pairs = pairs.join(sketches.select(F.col("sig").alias("b"), F.col("v").alias("y")), "b")
+    pairs = stored(pairs.filter(_may_link(threshold_pct)).select("a", "b"))
     links = stored(_verify(pairs, docs, classes, size, threshold_pct))
     comps = stored(components(links))
 
@@ -262,7 +296,7 @@ def jaccard_join(docs: DataFrame, size: int = 5, threshold_pct: int = 75) -> Dat
     open_keys = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     rest = named.join(open_keys.filter("lo <> hi").select("key"), "key")
     rest = stored(rest.join(classes.select("sig", "n", *SKETCH), "sig"))
-    more = rest.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & _may_link(threshold_pct))
+    more = rest.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.sig") < F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & _may_link(threshold_pct))
     more = more.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct()
     more = stored(more.join(pairs, ["a", "b"], "left_anti"))
     if not more.isEmpty():
