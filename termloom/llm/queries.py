@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import decontaminate, embedding_forest, language, ngram_jaccard, packing, secrets, surrogates, urls, weak_quality
+from termloom.llm import decontaminate, embedding_forest, language, ngram_jaccard, packing, secrets, suffix_merge, surrogates, urls, weak_quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +82,10 @@ def op8_language(spark, sf_dir):
     return language.identify(docs, docs.filter(~language.held_out(F.col("doc_id"))))
 
 
+def op9_suffix_merge(spark, sf_dir):
+    return suffix_merge.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard(spark, sf_dir):
     return ngram_jaccard.jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -97,6 +101,7 @@ QUERIES = {
         op6_weak_quality,
         op7_packing,
         op8_language,
+        op9_suffix_merge,
         op10_ngram_jaccard,
     )
 }
