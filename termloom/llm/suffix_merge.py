@@ -173,7 +173,9 @@ def repeated_starts(shards: list[list[bytes]], length: int) -> list[list[np.ndar
 
 
 #: Bytes of contexts that are merged at once, and shards among them.
-MERGED_BYTES, SHARDS = 1 << 21, 4
+MERGED_BYTES, SHARDS = 1 << 23, 4
+#: Neighbouring strings that form a piece.
+CLASS = 24
 #: Small tables are broadcast up to this many rows and joined by shuffle beyond.
 BROADCAST_ROWS = 500_000
 
@@ -199,15 +201,36 @@ def _merged(length: int):
     """(doc_id, start, end) of the runs of repeated strings; all contexts of an anchor lie in one task, sorted by anchor."""
 
     def work(rows: list[tuple]):
-        shards: list[list[tuple]] = [[] for _ in range(min(SHARDS, len(rows)))]
-        for i, row in enumerate(rows):
-            shards[i % len(shards)].append(row)
-        for own, found in zip(shards, repeated_starts([[r[4] for r in s] for s in shards], length), strict=True):
-            for row, places in zip(own, found, strict=True):
-                if len(places):
-                    cuts = np.flatnonzero(np.diff(places) > 1)
-                    lows, highs = places[np.r_[0, cuts + 1]], places[np.r_[cuts, len(places) - 1]]
-                    yield from ((row[0], row[3] + int(lo), row[3] + int(hi) + length) for lo, hi in zip(lows, highs, strict=True))
+        # Neighbouring strings of a context are a piece. What all of them share must be there twice, else
+        # none repeats; equal pieces repeat as a whole and go on as one copy; the rest is merged.
+        groups: dict[tuple, dict[tuple, list[tuple[int, int, int]]]] = {}
+        for doc_id, anchor, lead, first, raw in rows:
+            lowest = lead - (len(raw) - length)
+            for c in range(lowest // CLASS, lead // CLASS + 1):
+                low, high = max(lowest, c * CLASS), min(lead, c * CLASS + CLASS - 1)
+                core = raw[lead - c * CLASS : lead - (c * CLASS + CLASS - 1) + length]
+                piece = (low, high, raw[lead - high : lead - low + length])
+                groups.setdefault((anchor, c, core), {}).setdefault(piece, []).append((doc_id, first + lead - high, first + lead - low + length))
+        rest = []
+        for pieces in groups.values():
+            for piece, places in pieces.items():
+                if len(places) > 1:
+                    yield from places
+                if len(pieces) > 1:
+                    rest.append((piece[2], places))
+        groups.clear()
+        shards: list[list[tuple]] = [[] for _ in range(min(SHARDS, len(rest)))]
+        for i, one in enumerate(rest):
+            shards[i % len(shards)].append(one)
+        if not shards:
+            return
+        for own, found in zip(shards, repeated_starts([[text for text, _ in s] for s in shards], length), strict=True):
+            for (_, places), at in zip(own, found, strict=True):
+                if len(at) and len(places) == 1:
+                    doc_id, start, _ = places[0]
+                    cuts = np.flatnonzero(np.diff(at) > 1)
+                    lows, highs = at[np.r_[0, cuts + 1]], at[np.r_[cuts, len(at) - 1]]
+                    yield from ((doc_id, start + int(lo), start + int(hi) + length) for lo, hi in zip(lows, highs, strict=True))
 
     def batch_of(rows):
         rows = list(rows)
