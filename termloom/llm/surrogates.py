@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from termloom.llm.storage import stored
 
 ROUNDS = 6
-#: Passes that move surrogates off entities of the corpus.
-WALKS = 40
+#: Tries for a surrogate that is free; in the first half none may be an entity of the corpus.
+TRIES = 24
 
 # Forms of personal data, and ranges of code points within which characters move.
 NAME = r"\p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+)?"
@@ -98,7 +98,7 @@ def norm_of(kind: Column, surface: Column) -> Column:
 
 
 def surrogate(kind: Column, norm: Column, secret: str) -> Column:
-    """The next surrogate of a known form."""
+    """The surrogate of a known form under a key."""
     local, domain = F.regexp_extract(norm, "^(.*)@", 1), F.regexp_extract(norm, "@(.*)[.]", 1)
     last = F.regexp_extract(norm, "([.][^.]*)$", 1)
     words = F.array_join(F.transform(F.split(norm, " "), lambda w: permuted(w, secret, "name")), " ")
@@ -136,23 +136,32 @@ def rendered(kind: Column, surface: Column, norm: Column, new: Column) -> Column
 
 
 def surrogate_map(entities: DataFrame, secret: str) -> DataFrame:
-    """(kind, norm, new): one surrogate per entity, none of which is an entity of the same kind.
+    """(kind, norm, new): one surrogate per entity, no two alike, and none that is an entity of its kind.
 
-    Raises if two entities got one surrogate. Should every form of a cycle be taken (tiny value
-    ranges), entities exchange their forms among each other.
+    Each try permutes all entities still open with a key of its own and keeps what is no entity and
+    not yet given away. Where a range is nearly used up, late tries may take forms of other entities;
+    a range that is too small raises.
     """
     known = stored(entities.select("kind", "norm").distinct())
-    named = stored(known.withColumn("new", surrogate(F.col("kind"), F.col("norm"), secret)))
-    for _ in range(WALKS):
-        taken = known.select("kind", F.col("norm").alias("new"))
-        clash = stored(named.join(taken, ["kind", "new"], "left_semi").select("kind", "norm", "new"))
-        if clash.isEmpty():
+    forms = known.select("kind", F.col("norm").alias("new"))
+    todo, given = known, None
+    for attempt in range(TRIES):
+        tried = stored(todo.withColumn("new", surrogate(F.col("kind"), F.col("norm"), f"{secret}/{attempt}")))
+        free = tried.filter("new <> norm")
+        if attempt < TRIES // 2:
+            free = free.join(forms, ["kind", "new"], "left_anti")
+        if given is not None:
+            free = free.join(given.select("kind", "new"), ["kind", "new"], "left_anti")
+        free = stored(free.select("kind", "norm", "new"))
+        given = free if given is None else given.union(free)
+        todo = stored(tried.select("kind", "norm").join(free.select("kind", "norm"), ["kind", "norm"], "left_anti"))
+        if todo.isEmpty():
             break
-        moved = clash.select("kind", "norm", surrogate(F.col("kind"), F.col("new"), secret).alias("moved"))
-        named = stored(named.join(moved, ["kind", "norm"], "left").select("kind", "norm", F.coalesce("moved", "new").alias("new")))
-    if not named.groupBy("kind", "new").count().filter("count > 1").isEmpty():
+    else:
+        raise ValueError("the range of some kind is too small for distinct surrogates")
+    if not given.groupBy("kind", "new").count().filter("count > 1").isEmpty():
         raise ValueError("two entities share a surrogate")
-    return named
+    return given
 
 
 def pseudonymise(docs: DataFrame, secret: str) -> DataFrame:
