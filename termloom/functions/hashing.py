@@ -12,7 +12,6 @@ from pyspark.sql import Column, functions as F
 
 DRAW_DIGITS = 32
 SLOT_DIGITS = 8
-SLOT_SPAN = 16**SLOT_DIGITS
 
 
 def row_key(columns: Sequence[Column]) -> Column:
@@ -30,8 +29,9 @@ def row_key(columns: Sequence[Column]) -> Column:
 
 
 def draw(seed: int, key: Column, *salt: Column) -> Column:
-    """32 hexadecimal digits, uniform over keys."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), key, *(s.cast("string") for s in salt)))
+    """32 hexadecimal digits, uniform over keys; a NULL key is an error, as such rows would share one draw."""
+    known = F.coalesce(key.cast("string"), F.raise_error("a NULL key has no draw").cast("string"))
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), known, *(s.cast("string") for s in salt)))
 
 
 def slot(drawn: Column, slots: Column) -> Column:

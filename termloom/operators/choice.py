@@ -7,13 +7,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from termloom.functions import grading
 from termloom.schemas import CHOICE_REPORT
 
+NO_SUBJECT = "(no subject)"
+
 
 def choice_items(
     source: DataFrame, choices: tuple[str, ...] = ("A", "B", "C", "D"), answer_base: int = 0
 ) -> DataFrame:
     """Source rows with ``choices`` packed and ``answer`` as an index, plus ``prompt``.
 
-    An answer that names no choice letter becomes NULL and is dropped by ``usable_items``.
+    An answer that cannot be read becomes NULL and is dropped by ``usable_items``; a letter after
+    the last choice counts on (``E`` is 4) and is never right.
     """
     numeric = dict(source.dtypes)["answer"] != "string"
     packed = grading.pack_choices(*(F.col(f"`{c}`") for c in choices))
@@ -87,9 +90,13 @@ def correct_incorrect(rows: DataFrame) -> DataFrame:
 
 
 def _summary(rows: DataFrame) -> DataFrame:
-    """One row: accuracy, correct, total, by_subject. The map has one entry per subject."""
+    """One row: accuracy, correct, total, by_subject. The map has one entry per subject.
+
+    Rows without a subject stand under ``NO_SUBJECT``, as a map has no NULL key.
+    """
     share = _share(F.col("correct"), F.col("total")).alias("accuracy")
-    entry = F.struct(F.col("subject").alias("key"), F.struct(share, "correct", "total").alias("value"))
+    name = F.coalesce("subject", F.lit(NO_SUBJECT)).alias("key")
+    entry = F.struct(name, F.struct(share, "correct", "total").alias("value"))
     return (
         by_subject(rows)
         .agg(

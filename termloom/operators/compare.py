@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from termloom.functions import grading
 
-# Metric of a comparison, and where the two reports hold it.
+# Metric of a comparison, where the two reports hold it, and the name of its flag.
 RECALL_METRICS = {
     "test1_bertscore_f1": "bertscore.f1_mean",
     "test1_headword_recall": "headword_recall.accuracy",
 }
 CHOICE_METRICS = {"test2_accuracy": "finetuned.accuracy"}
+FLAGS = {
+    "test1_bertscore_f1": "test1_bertscore",
+    "test1_headword_recall": "test1_headword",
+    "test2_accuracy": "test2_accuracy",
+}
 
 
 def _metrics(report: DataFrame, fields: dict[str, str], variant: str) -> DataFrame:
@@ -39,19 +44,23 @@ def compare_variants(
 ) -> DataFrame:
     """Absolute drop of every metric from one variant to another, judged against the limit.
 
-    Takes ``(variant, metric, value)`` rows. Both values of a metric meet in one grouped pass.
+    Takes ``(variant, metric, value)`` rows. Both values of a metric meet in one grouped pass. A
+    metric without a value on either side stays and does not pass; two values of one variant are
+    an error.
     """
     value = F.col("value")
+
+    def only(variant: str):
+        mine = F.when(F.col("variant") == variant, value)
+        several = F.raise_error(f"more than one value of a metric for {variant}").cast("double")
+        return F.when(F.count(mine) > 1, several).otherwise(F.max(mine))
+
     return (
         metrics.filter(F.col("variant").isin(first, second))
         .groupBy("metric")
-        .agg(
-            F.max(F.when(F.col("variant") == first, value)).alias("first_value"),
-            F.max(F.when(F.col("variant") == second, value)).alias("second_value"),
-        )
-        .filter(F.col("first_value").isNotNull() & F.col("second_value").isNotNull())
+        .agg(only(first).alias("first_value"), only(second).alias("second_value"))
         .withColumn("drop", F.col("first_value") - F.col("second_value"))
-        .withColumn("passed", F.col("drop") <= F.lit(limit))
+        .withColumn("passed", F.coalesce(F.col("drop") <= F.lit(limit), F.lit(False)))
     )
 
 
@@ -62,9 +71,8 @@ def comparison_report(
     run_name: str | None = None,
     timestamp: str | None = None,
 ) -> DataFrame:
-    """One nested row from ``compare_variants`` over the three metrics."""
+    """One nested row from ``compare_variants`` over the three metrics; all three must pass."""
     names = [*RECALL_METRICS, *CHOICE_METRICS]
-    flags = {name: name.removesuffix("_f1").removesuffix("_recall") for name in names}
 
     def pick(column: str, alias: dict[str, str]):
         return F.struct(
@@ -75,12 +83,13 @@ def comparison_report(
         )
 
     same = {name: name for name in names}
+    passes = [F.coalesce(F.max(F.when(F.col("metric") == n, F.col("passed"))), F.lit(False)) for n in names]
     return comparison.agg(
         pick("first_value", same).alias(first),
         pick("second_value", same).alias(second),
         pick("drop", same).alias("performance_drop"),
-        pick("passed", flags).alias("passed"),
-        F.every("passed").alias("overall_passed"),
+        F.struct(*(p.alias(FLAGS[n]) for p, n in zip(passes, names, strict=True))).alias("passed"),
+        (passes[0] & passes[1] & passes[2]).alias("overall_passed"),
     ).select(
         "*",
         F.lit(run_name).cast("string").alias("run_name"),

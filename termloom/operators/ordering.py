@@ -26,7 +26,7 @@ def _crossing(counts: DataFrame, before: Column, wanted: Column) -> DataFrame:
         .filter("upto - rows < wanted and upto >= wanted")
         .select(
             F.struct(
-                "head", (F.col("upto") - F.col("rows")).alias("before"), "wanted"
+                "head", "rows", (F.col("upto") - F.col("rows")).alias("before"), "wanted"
             ).alias("at")
         )
     )
@@ -53,7 +53,10 @@ def cut_point(df: DataFrame, drawn: str, size: Callable[[Column], Column]) -> Da
         here = at.scalar()
         inside = draws.filter(F.col("drawn").startswith(here["head"]))
         at = _crossing(counts(inside, digits), here["before"], here["wanted"])
-    return at.select(F.col("at")["head"].alias("cut"))
+    # A cut through equal draws would not give the exact size.
+    repeated = F.raise_error("the keys of a sample must not repeat").cast("string")
+    last = F.col("at")
+    return at.select(F.when(last["rows"] > 1, repeated).otherwise(last["head"]).alias("cut"))
 
 
 def up_to(df: DataFrame, drawn: str, cut: Column) -> DataFrame:

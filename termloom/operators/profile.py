@@ -8,6 +8,8 @@ from termloom.functions.lengths import recommend_length
 
 PERCENTILES = (0.5, 0.95, 0.99)
 HISTOGRAM_BINS = 20
+# Fixed value: the saving interval without an evaluation part.
+SAVE_STEPS = 500
 EVALS_PER_EPOCH = 10
 
 
@@ -128,13 +130,19 @@ def histogram(scores: DataFrame, column: str = "score", bins: int = HISTOGRAM_BI
     )
 
 
-def step_plan(train: DataFrame, batch_size: int = 16, grad_accum: int = 4) -> DataFrame:
-    """Optimiser steps per epoch, and the interval of evaluation and saving."""
+def step_plan(
+    train: DataFrame, batch_size: int = 16, grad_accum: int = 4, evaluated: bool = True
+) -> DataFrame:
+    """Optimiser steps per epoch, and the interval of evaluation and saving.
+
+    ``train`` holds the rows of the training part. Without an evaluation part there is no
+    evaluation, and saving goes by a fixed interval.
+    """
     steps = F.expr(f"num_samples div {batch_size * grad_accum}")
     interval = F.greatest(F.lit(1), F.expr(f"steps_per_epoch div {EVALS_PER_EPOCH}"))
     return (
         train.agg(F.count("*").alias("num_samples"))
         .withColumn("steps_per_epoch", steps)
-        .withColumn("eval_steps", interval)
-        .withColumn("save_steps", F.col("eval_steps"))
+        .withColumn("eval_steps", interval if evaluated else F.lit(None).cast("bigint"))
+        .withColumn("save_steps", interval if evaluated else F.lit(SAVE_STEPS).cast("bigint"))
     )

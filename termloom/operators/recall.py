@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from termloom.functions import grading
 
 
 def align_predictions(predictions: DataFrame, truth: DataFrame, key: str = "sample_id") -> DataFrame:
-    """Predictions with their ground truth, one to one by key."""
-    return predictions.join(truth, key, "inner")
+    """Predictions with their ground truth, one to one by key; a repeated key is an error."""
+
+    def once(rows: DataFrame) -> DataFrame:
+        # The window needs the partitioning of the join, so it adds no exchange.
+        copies = F.count("*").over(Window.partitionBy(key))
+        single = F.when(F.col("_copies") == 1, True).otherwise(F.raise_error(f"repeated {key}").cast("boolean"))
+        return rows.filter(F.col(key).isNotNull()).withColumn("_copies", copies).filter(single).drop("_copies")
+
+    return once(predictions).join(once(truth), key, "inner")
 
 
 def unmatched_predictions(
@@ -80,8 +87,12 @@ def abbreviation_accuracy() -> Column:
 def recall_report(
     rows: DataFrame, run_name: str | None = None, timestamp: str | None = None
 ) -> DataFrame:
-    """One row in the shape of ``schemas.RECALL_REPORT`` from ``judged`` rows with a ``score``."""
+    """One row in the shape of ``schemas.RECALL_REPORT`` from ``judged`` rows with a ``score``.
+
+    The semantic gate fails while any row has no score.
+    """
     metrics = rows.agg(
+        F.count_if(F.col("score").isNull()).alias("_unscored"),
         F.struct(
             F.avg("score").alias("f1_mean"), F.stddev_pop("score").alias("f1_std")
         ).alias("bertscore"),
@@ -90,7 +101,10 @@ def recall_report(
         F.count("*").alias("num_samples"),
     )
     passed = F.struct(
-        grading.at_least(F.col("bertscore.f1_mean"), grading.MIN_SEMANTIC_F1).alias("bertscore"),
+        (
+            grading.at_least(F.col("bertscore.f1_mean"), grading.MIN_SEMANTIC_F1)
+            & (F.col("_unscored") == 0)
+        ).alias("bertscore"),
         grading.at_least(F.col("headword_recall.accuracy"), grading.MIN_HEADWORD_RECALL).alias(
             "headword"
         ),

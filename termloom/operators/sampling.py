@@ -18,9 +18,6 @@ QUICK_SAMPLES = 50
 VALIDATION_SAMPLES = 100
 SAMPLES_PER_SUBJECT = 20
 
-# Up to this many rows a sorted limit keeps one small heap per task; beyond it a cut is cheaper.
-SORTED_LIMIT = 10_000
-
 # Copies of one row are rebuilt in runs of this length, spread over tasks.
 COPIES_PER_RUN = 100_000
 
@@ -120,8 +117,6 @@ def cap_rows(
     if not count:
         return df
     drawn = with_draw(df, key, seed, salt)
-    if count <= SORTED_LIMIT:
-        return drawn.orderBy("drawn").limit(count).drop("drawn")
     cut = cut_point(drawn, "drawn", lambda n: F.lit(count)).scalar()
     return up_to(drawn, "drawn", cut).drop("drawn")
 
@@ -141,17 +136,10 @@ def stratified_sample(
 ) -> DataFrame:
     """Up to ``count`` rows of each stratum.
 
-    For the small counts this is used with, Spark prunes every task to its best ``count`` rows
-    per stratum before the shuffle. Larger counts would send a whole stratum to one task, so
-    there rows are located by counts per stratum and leading digits, as in ``cut_point``.
+    Rows are located by counts per stratum and leading digits, as in ``cut_point``, so that no
+    stratum is sent to one task whatever the count.
     """
     drawn = with_draw(df, key, seed, "stratum")
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if count <= limit:
-        lowest = Window.partitionBy(stratum).orderBy("drawn")
-        ranked = drawn.withColumn("_rank", F.row_number().over(lowest))
-        return ranked.filter(F.col("_rank") <= count).drop("drawn", "_rank")
-
     headed = drawn.withColumn("_head", F.substring("drawn", 1, STRATUM_DIGITS)).withColumn(
         "_stratum", F.struct(stratum)
     )

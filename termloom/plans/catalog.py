@@ -426,7 +426,13 @@ def score_histogram(spark, sf_dir):
 
 @query
 def step_plan(spark, sf_dir):
-    return profile.step_plan(_pairs(spark, sf_dir))
+    train, _ = sampling.train_eval_split(_pairs(spark, sf_dir), "sample_id")
+    return profile.step_plan(train)
+
+
+@query
+def step_plan_without_evaluation(spark, sf_dir):
+    return profile.step_plan(_pairs(spark, sf_dir), evaluated=False)
 
 
 # --- recall -------------------------------------------------------------------------------------
@@ -494,8 +500,7 @@ def test1_report(spark, sf_dir):
 
 @query
 def validation_report(spark, sf_dir):
-    rows = sampling.sample_validation(standin(spark, sf_dir, "predictions"), "sample_id")
-    report = recall.validation_report(recall.judged(rows))
+    report = recall.validation_report(recall.judged(standin(spark, sf_dir, "predictions")))
     return _rounded(report, "bertscore_f1", "bertscore_std", "headword_recall")
 
 

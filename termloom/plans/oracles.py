@@ -442,8 +442,12 @@ SQL: dict[str, str] = {
     ),
     "step_plan": (
         "select n as num_samples, n // 64 as steps_per_epoch, greatest(1, n // 64 // 10) as"
-        " eval_steps, greatest(1, n // 64 // 10) as save_steps from (select count(*) as n from"
-        " pairs)"
+        " eval_steps, greatest(1, n // 64 // 10) as save_steps from (select count(*) -"
+        " cast(ceil(count(*) * cast(0.05 as double)) as bigint) as n from pairs)"
+    ),
+    "step_plan_without_evaluation": (
+        "select n as num_samples, n // 64 as steps_per_epoch, cast(null as bigint) as eval_steps,"
+        " cast(500 as bigint) as save_steps from (select count(*) as n from pairs)"
     ),
     "aligned_predictions": "select sample_id, prediction, ground_truth from predictions",
     "unmatched_predictions": (
@@ -489,8 +493,7 @@ SQL: dict[str, str] = {
     "validation_report": (
         "select round(avg(score), 6) as bertscore_f1, round(stddev_pop(score), 6) as bertscore_std,"
         " round(coalesce(avg(case when headword is not null then cast(headword_hit as integer)"
-        " end), 0), 6) as headword_recall, count(*) as num_samples from (select * from judged"
-        f" qualify {position(42, 'cast(sample_id as varchar)', 'validation')} <= 100)"
+        " end), 0), 6) as headword_recall, count(*) as num_samples from judged"
     ),
     "mcq_items": (
         "select sample_id, subject, answer, concat_ws(',', A, B, C, D) as choices from items"

@@ -66,9 +66,7 @@ def test_sample_does_not_depend_on_partitions(spark, partitions):
     )
 
 
-@pytest.mark.parametrize("limit", [10_000, 0])
-def test_cap_rows_both_ways(spark, monkeypatch, limit):
-    monkeypatch.setattr(sampling, "SORTED_LIMIT", limit)
+def test_cap_rows(spark):
     rows = keys(spark, 300)
     assert {r.key for r in sampling.cap_rows(rows, "key", 50).collect()} == lowest(300, 50, 42, "cap")
     assert sampling.cap_rows(rows, "key", 300).count() == 300
@@ -76,6 +74,20 @@ def test_cap_rows_both_ways(spark, monkeypatch, limit):
     assert sampling.cap_rows(rows, "key", None).count() == 300
 
 
+def test_repeated_and_missing_keys_raise(spark):
+    repeated = spark.createDataFrame([("k",)] * 9 + [("m",)], "key string")
+    with pytest.raises(Exception, match="must not repeat"):
+        sampling.cap_rows(repeated, "key", 5).collect()
+    with pytest.raises(Exception, match="NULL key"):
+        sampling.cap_rows(spark.createDataFrame([(None,), ("k",)], "key string"), "key", 1).collect()
+
+
+def test_cap_rows_beyond_ten_thousand(spark):
+    rows = spark.range(30_000).selectExpr("cast(id as string) as key")
+    for count in (9_995, 10_007):
+        assert sampling.cap_rows(rows, "key", count).count() == count
+
+
 @pytest.mark.parametrize("threshold", ["1000", "0"])
 def test_stratified_sample_both_ways(spark, threshold):
     """One stratum holds most rows, one is NULL, some are smaller than asked for."""
