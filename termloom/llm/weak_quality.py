@@ -24,8 +24,9 @@ FIT_ROWS = 8_000
 LABELLED_ROWS = 20_000
 #: Hashed places of the scorer.
 PLACES = 1 << 18
-#: Insults kept at most, and in how many toxic documents, and how much more often than in others, one must stand.
-INSULTS, INSULT_DOCS, INSULT_RATIO = 500, 8, 30
+#: Insults kept at most; in how many toxic documents, and how much more often than in others, one must
+#: stand; beginnings of words are less telling and must stand there more often still.
+INSULTS, INSULT_DOCS, INSULT_RATIO, STEM_RATIO = 500, 8, 30, 150
 #: Raw words whose places a task keeps before it starts anew.
 KNOWN = 200_000
 
@@ -53,14 +54,15 @@ def traits(text: str, words: list[str]) -> tuple[float, ...]:
     counts = Counter(words)
     alone = sum(c for w, c in counts.items() if not any(map(str.isalnum, w)))
     step = max(1, n // 400)
-    sample = " ".join(words[: 400 * step : step]).encode()
+    some = words[: 400 * step : step]  # words spread over the whole text, so that long texts compare with short ones
+    sample = " ".join(some).encode()
     return (
         len(_MARKS.findall(text)) / max(1, n),
         upper / max(1, upper + lower),
         alone / max(1, n),
         text.count("!") / max(1, n),
         (counts.most_common(1)[0][1] / n) if n >= 20 else 0.0,
-        len(counts) / n if n >= 20 else 1.0,
+        len(set(some)) / len(some) if n >= 20 else 1.0,
         len(zlib.compress(sample, 1)) / max(1, len(sample)) if n >= 20 else 1.0,
     )
 
@@ -108,7 +110,9 @@ def learn_insults(docs: DataFrame, labels: DataFrame) -> frozenset[str]:
     each = each.select("toxic", F.explode(F.array_distinct(F.concat(words, *starts))).alias("w"))
     counts = each.groupBy("w").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o"))
     odds = (F.col("t") / max(1, toxic)) / ((F.col("o") + 1) / other)
-    kept = counts.filter(F.col("t") >= max(INSULT_DOCS, toxic // 50)).withColumn("odds", odds).filter(F.col("odds") >= INSULT_RATIO)
+    kept = counts.filter(F.col("t") >= max(INSULT_DOCS, toxic // 50)).withColumn("odds", odds).filter(
+        F.col("odds") >= F.when(F.col("w").endswith("*"), STEM_RATIO).otherwise(INSULT_RATIO)
+    )
     return frozenset(r.w for r in kept.orderBy(F.desc("odds"), "w").limit(INSULTS).collect())
 
 
