@@ -125,10 +125,10 @@ def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndar
     symbol more: a source's suffixes keep their order throughout, nothing is sorted anew. Neighbours
     first told apart in step k share k - 1 symbols; those never told apart share `depth`.
     """
-    interleave = np.repeat(np.arange(len(transforms), dtype=np.uint16), [len(t) for t in transforms])
+    interleave = np.repeat(np.arange(len(transforms), dtype=np.min_scalar_type(len(transforms))), [len(t) for t in transforms])
     every, total = np.concatenate(transforms), len(interleave)
     block, shared = np.zeros(total, np.int32), np.full(total, depth, np.int32)
-    symbols = np.empty(total, np.uint16)
+    symbols = np.empty(total, every.dtype)
     for step in range(1, depth + 1):
         # The symbol before the i-th suffix of the merged order, as far as the interleave holds.
         symbols[np.argsort(interleave, kind="stable")] = every
@@ -143,16 +143,20 @@ def merge(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndar
 
 
 def repeated_starts(shards: list[list[bytes]], length: int) -> list[list[np.ndarray]]:
-    """Per shard and text, the places at which a string of `length` bytes starts that starts elsewhere, too."""
+    """Per shard and text, the places at which a string of `length` bytes starts that starts elsewhere, too.
+
+    UTF-8 has no byte above 0xF4, so that bytes and the two end marks fit into one byte, which sorts faster;
+    0xF5 to 0xFD are free for the caller.
+    """
     transforms, orders, firsts = [], [], []
     for texts in shards:
         joined = b"".join(texts)
         sizes = np.array([len(t) for t in texts])
         first = np.concatenate([[0], np.cumsum(sizes + 1)])
-        symbols = np.ones(int(first[-1]) + 1, np.uint16)  # 1 ends a text, 0 the shard
+        symbols = np.ones(int(first[-1]) + 1, np.uint8)  # 1 ends a text, 0 the shard
         symbols[-1] = 0
         where = np.arange(len(joined)) + np.repeat(np.arange(len(texts)), sizes)
-        symbols[where] = np.frombuffer(joined, np.uint8).astype(np.uint16) + 2
+        symbols[where] = np.frombuffer(joined, np.uint8) + np.uint8(2)
         order = suffix_order(symbols)
         transforms.append(symbols[order - 1])
         orders.append(order)
@@ -172,8 +176,8 @@ def repeated_starts(shards: list[list[bytes]], length: int) -> list[list[np.ndar
     return out
 
 
-#: Bytes of contexts that are merged at once, and shards among them.
-MERGED_BYTES, SHARDS = 1 << 23, 4
+#: Bytes of contexts that are merged at once (few enough for the processor's cache), and shards among them.
+MERGED_BYTES, SHARDS = 1 << 20, 4
 #: Neighbouring strings that form a piece.
 CLASS = 24
 #: Small tables are broadcast up to this many rows and joined by shuffle beyond.
@@ -197,34 +201,44 @@ def _cut(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "anchor", "lead", "first", "bytes"])
 
 
+def core_name(number: int) -> bytes:
+    """Five bytes; the first is none of UTF-8, so that a name in a string is found at one place only."""
+    return bytes([0xF5, *(number >> shift & 0x7F for shift in (21, 14, 7, 0))])
+
+
 def _merged(length: int):
     """(doc_id, start, end) of the runs of repeated strings; all contexts of an anchor lie in one task, sorted by anchor."""
 
+    # Equal strings have their anchor at the same place, hence one core: its name stands for it, in all
+    # strings of a piece whole.
+    short = CLASS - 1 + len(core_name(0))
+
     def work(rows: list[tuple]):
-        # Neighbouring strings of a context are a piece. What all of them share must be there twice, else
-        # none repeats; equal pieces repeat as a whole and go on as one copy; the rest is merged.
+        # Neighbouring strings of a context are a piece. What all of them share (the core) must be there
+        # twice, else none repeats; equal pieces repeat as a whole and go on as one copy; the rest is merged.
         groups: dict[tuple, dict[tuple, list[tuple[int, int, int]]]] = {}
         for doc_id, anchor, lead, first, raw in rows:
             lowest = lead - (len(raw) - length)
             for c in range(lowest // CLASS, lead // CLASS + 1):
                 low, high = max(lowest, c * CLASS), min(lead, c * CLASS + CLASS - 1)
-                core = raw[lead - c * CLASS : lead - (c * CLASS + CLASS - 1) + length]
-                piece = (low, high, raw[lead - high : lead - low + length])
-                groups.setdefault((anchor, c, core), {}).setdefault(piece, []).append((doc_id, first + lead - high, first + lead - low + length))
+                left, right = lead - c * CLASS, lead - (c * CLASS + CLASS - 1) + length
+                piece = (raw[lead - high : left], raw[right : lead - low + length])
+                groups.setdefault((anchor, c, raw[left:right]), {}).setdefault(piece, []).append((doc_id, first + lead - high, first + lead - low + length))
         rest = []
-        for pieces in groups.values():
-            for piece, places in pieces.items():
+        for number, pieces in enumerate(groups.values()):
+            name = core_name(number)
+            for (left, right), places in pieces.items():
                 if len(places) > 1:
                     yield from places
                 if len(pieces) > 1:
-                    rest.append((piece[2], places))
+                    rest.append((left + name + right, places))
         groups.clear()
         shards: list[list[tuple]] = [[] for _ in range(min(SHARDS, len(rest)))]
         for i, one in enumerate(rest):
             shards[i % len(shards)].append(one)
         if not shards:
             return
-        for own, found in zip(shards, repeated_starts([[text for text, _ in s] for s in shards], length), strict=True):
+        for own, found in zip(shards, repeated_starts([[text for text, _ in s] for s in shards], short), strict=True):
             for (_, places), at in zip(own, found, strict=True):
                 if len(at) and len(places) == 1:
                     doc_id, start, _ = places[0]
