@@ -240,12 +240,19 @@ def _score(shared, text_at: int):
         weights, marks = shared.value.tolist(), Marks()  # plain numbers are read faster one by one
         known: dict[str, tuple[tuple[int, float], ...]] = {}
 
+        starts: dict[str, tuple[tuple[int, float], ...]] = {}
+
+        def weighed(s: str) -> tuple[tuple[int, float], ...]:
+            p = place_of(s)
+            return ((p, weights[p]),) if weights[p] else ()
+
         def look(raw: str) -> None:
-            found = ()
-            for s in stems(bare(raw)):
-                p = zlib.crc32(s.encode()) % PLACES
-                if weights[p]:
-                    found += ((p, weights[p]),)
+            word, *beginnings = stems(bare(raw)) or ("",)
+            found = weighed(word) if word else ()
+            for s in beginnings:
+                if s not in starts:
+                    starts[s] = weighed(s)
+                found += starts[s]
             known[raw] = found
 
         for batch in batches:
@@ -258,6 +265,7 @@ def _score(shared, text_at: int):
                     continue
                 if len(known) > KNOWN:
                     known.clear()
+                    starts.clear()
                 total = weights[-1]
                 distinct = set(words)
                 for w in distinct.difference(known):
