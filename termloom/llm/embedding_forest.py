@@ -77,9 +77,7 @@ def _route(shared):
             for at in range(0, len(pdf), 2000):
                 part = pdf.iloc[at : at + 2000]
                 for width, same in part.groupby(part.embedding.map(len)):
-                    forest = shared.value.get(width)
-                    if forest is None:
-                        continue
+                    forest = shared.value.get(width, [{}])  # a length without trees is one leaf, compared in blocks
                     points = _unit(same.embedding)
                     for tree, nodes in enumerate(forest):
                         for leaf, rows in leaves_of(points, nodes):
