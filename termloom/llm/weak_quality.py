@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from termloom.llm.storage import worker_state
+
 #: Documents on which the linear scorer is trained, and labelled ones from which insults are learned.
 FIT_ROWS = 8_000
 LABELLED_ROWS = 20_000
@@ -29,13 +31,14 @@ PLACES = 1 << 18
 #: Insults kept at most; in how many toxic documents, and how much more often than in others, one must
 #: stand; beginnings of words are less telling and must stand there more often still.
 INSULTS, INSULT_DOCS, INSULT_RATIO, STEM_RATIO = 500, 8, 30, 150
-#: Raw words whose places a task keeps before it starts anew.
-KNOWN = 200_000
+#: Raw words of which a worker keeps what they add; beyond it starts anew.
+KNOWN = 600_000
 
 _UPPER = string.ascii_uppercase.encode()
 _LOWER = string.ascii_lowercase.encode()
 _MARKS = re.compile(r"[^\w\s.,;:'\"()¿¡?!-]")
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+_STOPS = frozenset(".,;:?!")
 
 
 def bare(word: str) -> str:
@@ -47,32 +50,53 @@ def stems(word: str) -> tuple[str, ...]:
     return (word, word[:4] + "*", word[:6] + "*") if word else ()
 
 
-class Marks(dict):
-    """Per word: its foreign marks, and whether it is marks alone; 0 for most words, which have neither.
+class Words(dict):
+    """Per raw word: its foreign marks, whether it is marks alone, and what `find` tells of the bare word.
 
-    At most KNOWN words are kept.
+    None for most words, which have none of these. At most KNOWN words are kept.
     """
 
-    def __missing__(self, word: str):
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, raw: str):
         if len(self) > KNOWN:
             self.clear()
-        found = (0, False) if word.isalnum() else (len(_MARKS.findall(word)), not any(map(str.isalnum, word)))
-        self[word] = found if any(found) else 0
-        return self[word]
-
-
-def traits(text: str, words: list[str], marks: Marks) -> tuple[float, ...]:
-    """Shares of foreign marks and of capitals, marks alone, exclamations, and repetition by words and by bytes."""
+        foreign, alone = 0, False
+        if raw.isalnum():
+            word = raw.lower()
+        elif raw[-1] in _STOPS and raw[:-1].isalnum():
+            word = raw[:-1].lower()
+        else:
+            foreign, alone, word = len(_MARKS.findall(raw)), not any(map(str.isalnum, raw)), bare(raw)
+        own = self.find(word)
+        self[raw] = found = (foreign, alone, own) if foreign or alone or own else None
+        return found
+
+
+def known_words(key: str, basis, find) -> Words:
+    """The Words that this worker keeps for `basis`; new ones when the basis differs."""
+    held = worker_state("weak_" + key, dict)
+    if "basis" not in held or not np.array_equal(held["basis"], basis):
+        held.update(basis=basis, words=Words(find))
+    return held["words"]
+
+
+def traits(text: str, words: list[str], counts: Counter, found: list) -> tuple[float, ...]:
+    """Shares of foreign marks and of capitals, marks alone, exclamations, and repetition by words and by bytes.
+
+    `counts` are those of the words, `found` what Words says of each word counted.
+    """
     raw = text.encode()
     upper = len(raw) - len(raw.translate(None, _UPPER))
     lower = len(raw) - len(raw.translate(None, _LOWER))
     n = len(words)
-    counts = Counter(words)
     foreign = alone = 0
-    for c, found in zip(counts.values(), map(marks.__getitem__, counts), strict=True):
-        if found:
-            foreign += c * found[0]
-            alone += c * found[1]
+    for c, tells in zip(counts.values(), found, strict=True):
+        if tells:
+            foreign += c * tells[0]
+            alone += c * tells[1]
     step = max(1, n // 400)
     some = words[: 400 * step : step]  # words spread over the whole text, so that long texts compare with short ones
     sample = " ".join(some).encode()
@@ -138,14 +162,15 @@ def learn_insults(docs: DataFrame, labels: DataFrame) -> frozenset[str]:
 
 def _votes(shared):
     def run(batches):
-        insults, marks = shared.value, Marks()
+        insults, known = shared.value, Words(lambda word: ())
         for batch in batches:
             patterns, places = [], []
             for text in batch.column(0):
                 text = text.as_py() or ""
                 words = text.split()
-                t = traits(text, words, marks)
-                distinct = {s for w in set(words) for s in stems(bare(w))}
+                counts = Counter(words)
+                t = traits(text, words, counts, list(map(known.__getitem__, counts)))
+                distinct = {s for w in counts for s in stems(bare(w))}
                 patterns.append("".join(map(str, votes(t, len(insults.intersection(distinct)), len(words)))))
                 places.append(sorted({place_of(w) for w in [*distinct, *traits_as_words(t)]}))
             yield pa.RecordBatch.from_arrays([pa.array(patterns, pa.string()), pa.array(places, pa.list_(pa.int32()))], names=["pattern", "places"])
@@ -155,18 +180,17 @@ def _votes(shared):
 
 def _patterns(shared):
     def run(batches):
-        insults, marks, counts, bares = shared.value, Marks(), Counter(), {}
+        insults, patterns = shared.value, Counter()
+        known = known_words("insults", sorted(insults), lambda word: [s for s in stems(word) if s in insults])
         for batch in batches:
             for text in batch.column(0):
                 text = text.as_py() or ""
                 words = text.split()
-                if len(bares) > KNOWN:
-                    bares.clear()
-                distinct = set(words)
-                bares.update((w, frozenset(insults.intersection(stems(bare(w))))) for w in distinct.difference(bares))
-                hit = frozenset().union(*filter(None, map(bares.__getitem__, distinct)))
-                counts["".join(map(str, votes(traits(text, words, marks), len(hit), len(words))))] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["pattern", "n"])
+                counts = Counter(words)
+                found = list(map(known.__getitem__, counts))
+                hit = {s for tells in found if tells for s in tells[2]}
+                patterns["".join(map(str, votes(traits(text, words, counts, found), len(hit), len(words))))] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(patterns), pa.string()), pa.array(list(patterns.values()), pa.int64())], names=["pattern", "n"])
 
     return run
 
@@ -237,24 +261,27 @@ def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
 
 def _score(shared, text_at: int):
     def run(batches):
-        weights, marks = shared.value.tolist(), Marks()  # plain numbers are read faster one by one
-        known: dict[str, tuple[tuple[int, float], ...]] = {}
-
+        weights = shared.value.tolist()  # plain numbers are read faster one by one
         starts: dict[str, tuple[tuple[int, float], ...]] = {}
 
         def weighed(s: str) -> tuple[tuple[int, float], ...]:
             p = place_of(s)
             return ((p, weights[p]),) if weights[p] else ()
 
-        def look(raw: str) -> None:
-            word, *beginnings = stems(bare(raw)) or ("",)
-            found = weighed(word) if word else ()
+        def look(word: str) -> tuple[tuple[int, float], ...]:
+            if not word:
+                return ()
+            word, *beginnings = stems(word)
+            found = weighed(word)
+            if len(starts) > KNOWN:
+                starts.clear()
             for s in beginnings:
                 if s not in starts:
                     starts[s] = weighed(s)
                 found += starts[s]
-            known[raw] = found
+            return found
 
+        known = known_words("weights", shared.value, look)
         for batch in batches:
             out = []
             for text in batch.column(text_at):
@@ -263,15 +290,10 @@ def _score(shared, text_at: int):
                 if not words:
                     out.append(0.0)
                     continue
-                if len(known) > KNOWN:
-                    known.clear()
-                    starts.clear()
-                total = weights[-1]
-                distinct = set(words)
-                for w in distinct.difference(known):
-                    look(w)
-                total += math.fsum(dict(chain.from_iterable(filter(None, map(known.__getitem__, distinct)))).values())
-                total += sum(weights[place_of(w)] for w in traits_as_words(traits(text, words, marks)))
+                counts = Counter(words)
+                found = list(map(known.__getitem__, counts))
+                total = weights[-1] + math.fsum(dict(chain.from_iterable(tells[2] for tells in found if tells)).values())
+                total += sum(weights[place_of(w)] for w in traits_as_words(traits(text, words, counts, found)))
                 out.append(1 / (1 + math.exp(-min(50.0, max(-50.0, total)))))
             yield batch.append_column("quality_score_", pa.array(out, pa.float64()))
 
