@@ -6,8 +6,10 @@ gives a run of equal pieces their sequences and places; pieces take them by thei
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import struct
 import zlib
 from bisect import bisect_left
 
@@ -17,10 +19,18 @@ from pyspark.sql import functions as F
 
 from termloom.llm.storage import stored, worker_state
 
-#: Words whose ids a worker keeps; beyond it starts anew.
+#: Words, and parts of words, whose ids a worker keeps; beyond it starts anew.
 KNOWN_WORDS = 300_000
+KNOWN_PARTS = 500_000
 _BLANK = re.compile("[ \n\t\r]+")
 
+# The settings of a tokenizer that lower-cases and cuts words by this pattern, and what the
+# pattern means for printable ASCII.
+LOWER_CASED = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+PARTS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+ASCII_PARTS = "'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+"
+
+
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
     """Best-fit decreasing on counts: (length, first rank, end rank, first sequence, per sequence, offset).
@@ -66,6 +76,56 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
     return runs
 
 
+class Ids(dict):
+    """Token ids of words as bytes (unsigned, little-endian, 32 bits).
+
+    If the tokenizer has the settings above, words are cut into parts (those of printable ASCII here,
+    others by its own steps), and its model is asked once for each part. Words that hold a special
+    token, and all words of other tokenizers, go through the whole tokenizer.
+    """
+
+    def __init__(self, file: str):
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.coder = Tokenizer.from_file(file)
+        self.model = self.coder.model
+        self.parts: dict[str, bytes] = {}
+        settings = json.loads(self.coder.to_str())
+        cut = settings["pre_tokenizer"] or {}
+        split = {"type": "Split", "pattern": {"Regex": PARTS}, "behavior": "Removed", "invert": True}
+        level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        self.plain = (settings["normalizer"] or {}).get("normalizers") == LOWER_CASED and cut.get("pretokenizers") == [split, level]
+        special = [re.escape(t["content"]) for t in settings["added_tokens"]]
+        self.special = re.compile("|".join(special) or "(?!)")
+        self.cut = re.compile(ASCII_PARTS).findall
+
+    def add(self, words: list[str]) -> None:
+        if len(self.parts) > KNOWN_PARTS:
+            self.parts.clear()
+        parts, others = self.parts, []
+        normal, own_cut = self.coder.normalizer, self.coder.pre_tokenizer
+        for word in words:
+            if not self.plain or ("<" in word and self.special.search(word)):
+                others.append(word)
+                continue
+            if word.isascii() and word.isprintable():
+                cut = self.cut(word.lower())
+            else:
+                cut = [part for part, _ in own_cut.pre_tokenize_str(normal.normalize_str(word))]
+            found = []
+            for part in cut:
+                if part not in parts:
+                    ids = [t.id for t in self.model.tokenize(part)]
+                    parts[part] = struct.pack(f"<{len(ids)}I", *ids)
+                found.append(parts[part])
+            self[word] = b"".join(found)
+        for i in range(0, len(others), 4096):
+            some = others[i : i + 4096]
+            for word, e in zip(some, self.coder.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self[word] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+
+
 def _pieces(tokenizer: str, capacity: int):
     """Token ids of each text and the end mark 0, cut where longer than a sequence.
 
@@ -74,22 +134,17 @@ def _pieces(tokenizer: str, capacity: int):
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        coder = worker_state("packing_" + tokenizer, lambda: Tokenizer.from_file(tokenizer))
-        known = worker_state("packing_ids_" + tokenizer, dict)
+        known = worker_state("packing_ids_" + tokenizer, lambda: Ids(tokenizer))
         for batch in batches:
             out = []
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = [_BLANK.split(t) if t else [] for t in part.column(1).to_pylist()]
-                if len(known) > KNOWN_WORDS:
+                new = set().union(*texts).difference(known)
+                if known and len(known) + len(new) > KNOWN_WORDS:
                     known.clear()
-                new = list({w for words in texts for w in words if w not in known})
-                for i in range(0, len(new), 4096):
-                    some = new[i : i + 4096]
-                    for w, e in zip(some, coder.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                        known[w] = b"".join(i.to_bytes(4, "little") for i in e.ids)
+                    new = set().union(*texts)
+                known.add(list(new))
                 for doc_id, words in zip(part.column(0).to_pylist(), texts, strict=True):
                     ids = b"".join(map(known.__getitem__, words)) + bytes(4)
                     for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
