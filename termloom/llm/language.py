@@ -18,7 +18,7 @@ WORDS = 20_000
 GRAMS = 20_000
 LONGEST = 5
 #: Different raw words whose scores a task keeps before it starts anew.
-KNOWN = 200_000
+KNOWN = 600_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -119,7 +119,7 @@ def word_scores(word: str, table: dict, n_langs: int) -> np.ndarray:
     for size in range(LONGEST, 0, -1):
         known = [table[size, g] for g in grams_of(word, size) if (size, g) in table]
         if known:
-            return np.mean(known, axis=0)
+            return np.array([sum(column) / len(known) for column in zip(*known, strict=True)])
     return np.zeros(n_langs)
 
 
