@@ -31,6 +31,8 @@ PLACES = 1 << 18
 #: Insults kept at most; in how many toxic documents, and how much more often than in others, one must
 #: stand; beginnings of words are less telling and must stand there more often still.
 INSULTS, INSULT_DOCS, INSULT_RATIO, STEM_RATIO = 500, 8, 30, 150
+#: Words of a block over which repetition is judged, at most.
+BLOCK = 400
 #: Raw words of which a worker keeps what they add; beyond it starts anew.
 KNOWN = 600_000
 
@@ -83,8 +85,31 @@ def known_words(key: str, basis, find) -> Words:
     return held["words"]
 
 
+def blocks(words: list[str], most: int = BLOCK) -> list[list[str]]:
+    """Consecutive blocks of nearly equal length, at most `most` words each; every word is in one."""
+    n, count = len(words), max(1, -(-len(words) // most))
+    return [words[i * n // count : (i + 1) * n // count] for i in range(count)] if count > 1 else [words]
+
+
+def repetition(words: list[str], counts: Counter) -> tuple[float, float, float, float]:
+    """Share of different words and of bytes left by compression: means over the blocks, then the worst block of each.
+
+    Blocks make long texts compare with short ones, as both shares fall with length; means are weighted by words.
+    """
+    distinct = packed = 0.0
+    least, densest = 1.0, math.inf
+    parts = blocks(words)
+    for part in parts:
+        own = (len(counts) if len(parts) == 1 else len(set(part))) / len(part)
+        raw = " ".join(part).encode()
+        left = len(zlib.compress(raw, 1)) / len(raw)
+        distinct, packed = distinct + own * len(part), packed + left * len(part)
+        least, densest = min(least, own), min(densest, left)
+    return distinct / len(words), packed / len(words), least, densest
+
+
 def traits(text: str, words: list[str], counts: Counter, found: list) -> tuple[float, ...]:
-    """Shares of foreign marks and of capitals, marks alone, exclamations, and repetition by words and by bytes.
+    """Shares of foreign marks and of capitals, marks alone, exclamations, the top word, and `repetition`.
 
     `counts` are those of the words, `found` what Words says of each word counted.
     """
@@ -97,35 +122,31 @@ def traits(text: str, words: list[str], counts: Counter, found: list) -> tuple[f
         if tells:
             foreign += c * tells[0]
             alone += c * tells[1]
-    step = max(1, n // 400)
-    some = words[: 400 * step : step]  # words spread over the whole text, so that long texts compare with short ones
-    sample = " ".join(some).encode()
     return (
         foreign / max(1, n),
         upper / max(1, upper + lower),
         alone / max(1, n),
         text.count("!") / max(1, n),
         max(counts.values()) / n if n >= 20 else 0.0,
-        len(set(some)) / len(some) if n >= 20 else 1.0,
-        len(zlib.compress(sample, 1)) / max(1, len(sample)) if n >= 20 else 1.0,
+        *(repetition(words, counts) if n >= 20 else (1.0, 1.0, 1.0, 1.0)),
     )
 
 
 def votes(t: tuple[float, ...], insults: int, words: int) -> tuple[int, ...]:
     """1 good, 0 bad, 2 nothing, by labeller."""
-    marks, capitals, alone, shouts, top, distinct, packed = t
+    marks, capitals, alone, shouts, top, distinct, packed, least, densest = t
     return (
         0 if marks > 0.3 else 2,
         0 if capitals > 0.5 else 2,
         0 if alone > 0.2 else 2,
         0 if shouts > 0.3 else 2,
         0 if top > 0.25 else 2,
-        0 if distinct < 0.15 else 2,
-        0 if packed < 0.2 else 2,
+        0 if least < 0.15 else 2,
+        0 if densest < 0.2 else 2,
         0 if insults else 2,
         0 if insults > 1 else 2,
         1 if marks < 0.1 and alone < 0.05 and capitals < 0.3 else 2,
-        1 if words >= 20 and distinct > 0.3 and packed > 0.3 else 2,
+        1 if words >= 20 and distinct > 0.3 and packed > 0.3 and least >= 0.15 and densest >= 0.2 else 2,
         0 if not words else 2,
     )
 
@@ -134,7 +155,7 @@ def traits_as_words(t: tuple[float, ...]) -> list[str]:
     """The traits as words of the scorer, one for each step reached."""
     steps = ((0.1, 0.3), (0.3, 0.5), (0.05, 0.2), (0.1, 0.3), (0.15, 0.25))
     out = [f"\x00{i}>{s}" for i, (v, cuts) in enumerate(zip(t[:5], steps, strict=True)) for s in cuts if v > s]
-    return out + [f"\x00{i}<{s}" for i, v in ((5, t[5]), (6, t[6])) for s in (0.15, 0.2, 0.3) if v < s]
+    return out + [f"\x00{i}<{s}" for i, v in enumerate(t[5:], 5) for s in (0.15, 0.2, 0.3) if v < s]
 
 
 def place_of(word: str) -> int:

@@ -248,6 +248,24 @@ def test_quality_rejects_junk_and_insults(spark):
     assert weak_quality.keep_good(frame(spark, []), frame(spark, [], "doc_id long, quality int, toxic int")).count() == 0
 
 
+def test_repetition_covers_every_word():
+    def of(text):
+        words = text.split()
+        counts = weak_quality.Counter(words)
+        return weak_quality.traits(text, words, counts, [None] * len(counts))
+
+    for n in (0, 1, 399, 400, 401, 799, 800, 1199, 20_000):
+        parts = weak_quality.blocks(list(range(n)))
+        assert [x for part in parts for x in part] == list(range(n)) and max(map(len, parts)) <= weak_quality.BLOCK
+    phrase = "the same phrase again "
+    half = of(prose(1, 395) + " " + phrase * 99)  # 791 words: the second half is one phrase
+    last = of(prose(2, 800) + " " + phrase * 99)  # the last third is
+    plain, period = of(prose(3, 790)), of(" ".join(prose(i // 20, 19) + " x" for i in range(0, 8000, 20)))
+    bad = [weak_quality.votes(t, 0, 800)[5:7] for t in (half, last, plain, period)]
+    assert bad == [(0, 0), (0, 0), (2, 2), (2, 2)]
+    assert [weak_quality.votes(t, 0, 800)[10] for t in (half, last, plain, period)] == [2, 2, 1, 1]
+
+
 # Packing
 
 
