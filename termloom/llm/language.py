@@ -1,8 +1,12 @@
-"""Language identification: known words first, then ever shorter character n-grams."""
+"""Language identification: known words first, then ever shorter character n-grams.
+
+Words and n-grams of the training rows are counted without a bound and stay tables. Words that are
+frequent in training are scored where the documents are read; what a document has besides goes, once
+a document and word, through a join with the tables, which gives the same numbers.
+"""
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 
@@ -13,11 +17,12 @@ from pyspark.sql import functions as F
 
 from termloom.llm.storage import stored
 
-#: Bounds of the model: words and n-grams kept per language and kind, the most frequent ones.
-WORDS = 20_000
-GRAMS = 20_000
 LONGEST = 5
-#: Different raw words whose scores a task keeps before it starts anew.
+#: Scores (words times languages) that are sent to the tasks; words beyond are joined, which gives the same.
+SENT = 1_200_000
+#: Tables are broadcast in joins up to this many rows and joined by shuffle beyond.
+BROADCAST_ROWS = 200_000
+#: Different raw words of which a task keeps the letter words before it starts anew.
 KNOWN = 600_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -77,88 +82,125 @@ def _count_grams(batches):
     yield _emit(total)
 
 
-def _frequent(counts: DataFrame, kinds: list[str], most: int) -> DataFrame:
-    """The most frequent rows of each kind, at most `most`; rows that tie at the bound are left out together."""
-    levels = counts.groupBy(*kinds, "n").agg(F.count("*").alias("c"))
-    # The levels are few: counts of equal counts. Their sums run from the top.
-    from pyspark.sql import Window
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _scores(counts: DataFrame, langs: list[str]) -> DataFrame:
+    """(size, word, total, v): v is the log frequency by language, smoothed by the number of different words of the size."""
+    by_lang = F.map_from_entries(F.collect_list(F.struct("lang", "n")))
+    each = stored(counts.groupBy("size", "word").agg(by_lang.alias("by"), F.sum("n").alias("total")))
+    own = counts.groupBy("size", "lang").agg(F.sum("n").alias("n")).groupBy("size").agg(by_lang.alias("sums"))
+    types = each.groupBy("size").agg(F.count("*").alias("types"))
+    fixed = F.broadcast(own.join(types, "size"))  # one row a size
 
-    down = Window.partitionBy(*kinds).orderBy(F.desc("n"))
-    kept = levels.withColumn("run", F.sum("c").over(down)).filter(F.col("run") <= most)
-    least = kept.groupBy(*kinds).agg(F.min("n").alias("least"))
-    return counts.join(F.broadcast(least), kinds).filter("n >= least").drop("least")
+    def at(name: str, lang: str) -> Column:
+        return F.coalesce(F.try_element_at(F.col(name), F.lit(lang)), F.lit(0))
 
+    v = F.array(*(F.log((at("by", g) + 0.5) / (at("sums", g) + 0.5 * F.col("types"))) for g in langs))
+    return each.join(fixed, "size").select("size", "word", "total", v.alias("v"))
 
-def learn(docs: DataFrame) -> dict:
-    """Log frequencies of words and n-grams by language, counted over all given documents.
 
-    Rows without text or language teach nothing. The counts cover every row; the model that goes to
-    the tasks is bounded by WORDS and GRAMS per language.
+def learn(docs: DataFrame) -> tuple[list[str], DataFrame | None, DataFrame | None]:
+    """(languages, scores of words, scores of n-grams by size), counted over all given documents.
+
+    Rows without text or language teach nothing; without any row the tables are None.
     """
     rows = docs.select("lang", "text").filter("lang is not null and text is not null")
     words = stored(rows.mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    langs = sorted(r.lang for r in words.select("lang").distinct().collect())
+    if not langs:
+        return langs, None, None
     grams = stored(words.mapInArrow(_count_grams, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    # An n-gram's length is its size.
     grams = grams.withColumn("size", F.char_length("word"))
-    kept = [_frequent(words.withColumn("size", F.lit(0)), ["lang", "size"], WORDS), _frequent(grams, ["lang", "size"], GRAMS)]
-    found = [r for df in kept for r in df.select("lang", "size", "word", "n").collect()]  # bounded by WORDS and GRAMS
-    sums = {(r.lang, r["size"]): r.n for df in (words.withColumn("size", F.lit(0)), grams) for r in df.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()}
-    langs = sorted({k[0] for k in sums})
-    table: dict[tuple[int, str], list[float]] = {}
-    for r in found:
-        table.setdefault((r["size"], r.word), [0.0] * len(langs))[langs.index(r.lang)] = r.n
-    for (size, _), row in table.items():
-        for i, lang in enumerate(langs):
-            row[i] = math.log((row[i] + 0.5) / (sums.get((lang, size), 0) + 0.5 * WORDS))
-    return {"langs": langs, "table": table}
-
-
-def word_scores(word: str, table: dict, n_langs: int) -> np.ndarray:
-    """Log frequency per language of a known word, else of its longest known n-grams, else nothing."""
-    if (0, word) in table:
-        return np.array(table[0, word])
-    for size in range(LONGEST, 0, -1):
-        known = [table[size, g] for g in grams_of(word, size) if (size, g) in table]
-        if known:
-            return np.array([sum(column) / len(known) for column in zip(*known, strict=True)])
-    return np.zeros(n_langs)
+    return langs, stored(_scores(words.withColumn("size", F.lit(0)), langs)), stored(_scores(grams, langs))
+
+
+def most_frequent(words: DataFrame, most: int) -> DataFrame:
+    """The words from some power of two of occurrences on, at most `most` of them."""
+    power = F.length(F.bin("total")) - 1
+    levels = {r.p: r["count"] for r in words.groupBy(power.alias("p")).count().collect()}  # at most 63
+    least, held = 64, 0
+    for p in sorted(levels, reverse=True):
+        held += levels[p]
+        if held > most:
+            break
+        least = p
+    return words.filter(power >= least)
+
+
+def _summed(vectors: Column, langs: list[str]) -> Column:
+    """The sum of an array's vectors, in its order."""
+    zero = F.array(*(F.lit(0.0) for _ in langs))
+    return F.aggregate(vectors, zero, lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
 
 
-def _predict(model):
+def score_words(wanted: DataFrame, words: DataFrame, grams: DataFrame, langs: list[str]) -> DataFrame:
+    """(word, v): scores of a known word, else the mean of its longest known n-grams; words without any are left out."""
+    looked = stored(wanted.join(words.select("word", "v"), "word", "left"))
+    out, todo = looked.filter("v is not null"), looked.filter("v is null").select("word")
+    for size in range(LONGEST, 0, -1):
+        if todo.isEmpty():
+            break
+        marked = F.col("word") if size == 1 else F.concat(F.lit("^"), "word", F.lit("$"))
+        long = todo.withColumn("marked", marked).filter(F.char_length("marked") >= size)
+        at = F.sequence(F.lit(1), F.char_length("marked") - (size - 1))
+        parts = long.select("word", F.posexplode(F.transform(at, lambda i: F.substr(F.col("marked"), i, F.lit(size)))).alias("pos", "gram"))
+        known = _small(grams.filter(F.col("size") == size).select(F.col("word").alias("gram"), "v"))
+        found = parts.join(known, "gram").groupBy("word").agg(F.array_sort(F.collect_list(F.struct("pos", "v"))).alias("found"))
+        total = _summed(F.transform("found", lambda f: f["v"]), langs)
+        mean = F.transform(total, lambda x: x / F.size("found"))
+        found = stored(found.select("word", mean.alias("v")))
+        out = out.union(found)
+        todo = stored(todo.join(found.select("word"), "word", "left_anti"))
+    return stored(out)
+
+
+def _judge_frequent(model):
+    """(row_, doc_id, held_out, part, n, rest): the sum over the words sent, the number of words, and the other words."""
+    inner = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
+
     def run(batches):
-        data = model.value
-        langs, table = data["langs"], data["table"]
-        width = len(langs) + 1
-        place: dict[str, int] = {}
-        scores = np.zeros((1024, width))
-
-        def learn_word(raw: str) -> int:
-            nonlocal scores
-            row = np.zeros(width)
-            for word in letter_words(raw):
-                row[:-1] += word_scores(word, table, len(langs))
-                row[-1] += 1
-            if len(place) == len(scores):
-                scores = np.concatenate([scores, np.zeros_like(scores)])
-            place[raw] = len(place)
-            scores[place[raw]] = row
-            return place[raw]
+        place, scores = model.value
+        known: dict[str, list[str]] = {}
+        for batch in batches:
+            parts, numbers, rests = [], [], []
+            for text in batch.column(3):
+                if len(known) > KNOWN:
+                    known.clear()
+                counts: dict[str, int] = {}
+                for raw, n in Counter((text.as_py() or "").lower().split()).items():
+                    if raw not in known:
+                        known[raw] = letter_words(raw)
+                    for word in known[raw]:
+                        counts[word] = counts.get(word, 0) + n
+                here = {place[w]: n for w, n in counts.items() if w in place}
+                at, times = np.fromiter(here, int, len(here)), np.fromiter(here.values(), float, len(here))
+                parts.append((scores[at] * times[:, None]).sum(axis=0).tolist())
+                numbers.append(sum(counts.values()))
+                rests.append([{"word": w, "n": n} for w, n in counts.items() if w not in place])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(parts, pa.list_(pa.float64())), pa.array(numbers, pa.int64()), pa.array(rests, inner)],
+                names=["row_", "doc_id", "held_out", "part", "n", "rest"],
+            )
 
+    return run
+
+
+def _decide(langs: list[str]):
+    def run(batches):
         for batch in batches:
             names, sure = [], []
-            for text in batch.column(2):
-                raw = (text.as_py() or "").lower().split()
-                if len(place) > KNOWN:
-                    place.clear()
-                rows = [place[w] if w in place else learn_word(w) for w in raw]
-                total = scores[rows].sum(axis=0) if rows else np.zeros(width)
-                if not total[-1] or not langs:
+            for n, part, rest in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
+                if not n or not langs:
                     names.append("und")
                     sure.append(0.0)
                     continue
-                best = int(np.argmax(total[:-1]))
-                odds = np.exp(np.clip(total[:-1] - total[best], -700, 0))
+                total = np.array(part) + np.array(rest) if rest else np.array(part)
+                best = int(np.argmax(total))
                 names.append(langs[best])
-                sure.append(float(1 / odds.sum()))
+                sure.append(float(1 / np.exp(np.clip(total - total[best], -700, 0)).sum()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(sure, pa.float64())],
                 names=["doc_id", "held_out", "lang_pred", "score"],
@@ -167,12 +209,29 @@ def _predict(model):
     return run
 
 
-def identify(docs: DataFrame, train: DataFrame) -> DataFrame:
+def identify(docs: DataFrame, train: DataFrame, sent: int = SENT) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every document.
 
     `und` with score 0 for a NULL text or one without letters, or if nothing was learned. Ties take
-    the language first in order. Repeated rows are judged alike; other columns are ignored.
+    the language first in order. Repeated rows are judged alike; other columns are ignored. `sent`
+    bounds what is broadcast and changes no result.
     """
-    model = docs.sparkSession.sparkContext.broadcast(learn(train))
-    rows = docs.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "text")
-    return rows.mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double")
+    langs, words, grams = learn(train)
+    place, scores = {}, np.zeros((0, len(langs)))
+    if langs:
+        held = most_frequent(words, sent // len(langs)).select("word", "v").toArrow()
+        place = {w: i for i, w in enumerate(held.column("word").to_pylist())}
+        if place:
+            scores = held.column("v").combine_chunks().flatten().to_numpy().reshape(-1, len(langs))
+    model = docs.sparkSession.sparkContext.broadcast((place, scores))
+    rows = docs.select(F.monotonically_increasing_id().alias("row_"), "doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "text")
+    kind = "row_ long, doc_id long, held_out boolean, part array<double>, n long, rest array<struct<word: string, n: long>>"
+    judged = stored(rows.mapInArrow(_judge_frequent(model), kind))
+    final = judged.withColumn("more", F.lit(None).cast("array<double>"))
+    if langs:
+        rest = judged.select("row_", F.inline("rest"))
+        scored = _small(score_words(rest.select("word").distinct(), words, grams, langs))
+        each = rest.join(scored, "word").groupBy("row_").agg(F.array_sort(F.collect_list(F.struct("word", "n", "v"))).alias("found"))
+        more = each.select("row_", _summed(F.transform("found", lambda f: F.transform(f["v"], lambda x: x * f["n"])), langs).alias("more"))
+        final = judged.join(more, "row_", "left")
+    return final.select("doc_id", "held_out", "n", "part", "more").mapInArrow(_decide(langs), "doc_id long, held_out boolean, lang_pred string, score double")

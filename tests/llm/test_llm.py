@@ -316,6 +316,50 @@ def test_language_by_words_and_by_n_grams(spark):
     assert {r.lang_pred for r in language.identify(docs, docs.filter("false")).collect()} == {"und"}
 
 
+def brute_language(train, text, longest=5):
+    """Scores by language of a text, every counted word and n-gram kept."""
+    words = {}
+    for lang, t in train:
+        for w in re.findall(r"[^\W\d_]+", t.lower()):
+            for size, part in [(0, w), *((n, g) for n in range(1, longest + 1) for g in language.grams_of(w, n))]:
+                words.setdefault(size, {}).setdefault(part, {}).setdefault(lang, 0)
+                words[size][part][lang] += 1
+    langs = sorted({g for g, _ in train})
+    sums = {s: [sum(c.get(g, 0) for c in parts.values()) for g in langs] for s, parts in words.items()}
+
+    def of(size, part):
+        return [np.log((words[size][part].get(g, 0) + 0.5) / (sums[size][i] + 0.5 * len(words[size]))) for i, g in enumerate(langs)]
+
+    total = np.zeros(len(langs))
+    for w in re.findall(r"[^\W\d_]+", (text or "").lower()):
+        if w in words[0]:
+            total += of(0, w)
+            continue
+        for size in range(longest, 0, -1):
+            known = [of(size, g) for g in language.grams_of(w, size) if g in words.get(size, {})]
+            if known:
+                total += np.mean(known, axis=0)
+                break
+    return langs[int(np.argmax(total))], 1 / np.exp(total - total.max()).sum()
+
+
+def test_language_keeps_every_word(spark):
+    # More words than any bound, each once; their n-grams are those of the other language.
+    once = ["".join(p) for p in itertools.islice(itertools.product("abcdefgh", repeat=5), 20_500)]
+    train = [("en", " ".join(once)), ("de", " ".join("x" + w for w in once[:300] for _ in range(40)))]
+    texts = [once[0], once[20_499], once[1] + " " + once[7], "x" + once[5], "xx" + once[9] + "!", "zz 1", None]
+    rows = [(i, t, g, 0) for i, (g, t) in enumerate(train)] + [(100 + i, t, None, 0) for i, t in enumerate(texts)] + [(100, texts[0], None, 0), (None, texts[0], None, 0)]
+    docs = frame(spark, rows)
+    for sent in (language.SENT, 40, 0):  # all words sent, some, none
+        got = language.identify(docs, docs.filter("doc_id < 100"), sent).collect()
+        assert len(got) == len(rows)
+        by = {r.doc_id: (r.lang_pred, r.score) for r in got}
+        for i, text in enumerate(texts[:5]):
+            name, score = brute_language(train, text)
+            assert by[100 + i][0] == name and abs(by[100 + i][1] - score) < 1e-9
+        assert by[100][0] == "en" and by[None] == by[100] and by[106] == ("und", 0.0)
+
+
 # Repeated bytes
 
 
