@@ -6,18 +6,23 @@ Sorting every suffix of the corpus is not needed to find strings of `length` byt
    strings have equal anchors at equal places, so strings whose anchor occurs once are settled.
 2. All strings of one anchor lie in its context. Contexts that are equal as a whole are settled, too:
    all their strings repeat. They go on as one copy.
-3. What is left are contexts that share an anchor and differ, the ends of repeats. They are dealt by
-   anchor; each run of contexts that comes from one shard has its suffixes sorted and a transform of
-   its own, and the transforms of a bucket are merged by refining their interleave, one symbol at a
-   time, until it holds for `length` symbols. The places where refinement first tells two neighbours
-   apart give the common prefixes, and intervals with a common prefix of `length` the repeats.
-
-Contexts of one anchor that differ stay in one task (at most 368 bytes each); equal ones were taken as
-one before.
+3. What is left are contexts that share an anchor and differ, the ends of repeats. Neighbouring
+   strings of a context are a piece; what all strings of a piece have in common is its core. Equal
+   strings have equal cores, so pieces are dealt by core and not by anchor, equal pieces as one. The
+   pieces of a lot are dealt to shards, each has its suffixes sorted and a transform of its own, and
+   the transforms are merged by refining their interleave, one symbol at a time, until it holds for a
+   whole string. The places where refinement first tells two neighbours apart give the common
+   prefixes, and intervals with a common prefix of a string's length the repeats.
+
+A lot holds whole cores of at most MERGED_BYTES each. A core with more pieces than that is hot; its
+strings are grouped by the anchor's place in them and by what they have beside the core, row by row.
 """
 
 from __future__ import annotations
 
+import hashlib
+import struct
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -176,7 +181,7 @@ def repeated_starts(shards: list[list[bytes]], length: int) -> list[list[np.ndar
     return out
 
 
-#: Bytes of contexts that are merged at once (few enough for the processor's cache), and shards among them.
+#: Bytes of pieces that are merged at once (few enough for the processor's cache), and shards among them.
 MERGED_BYTES, SHARDS = 1 << 20, 4
 #: Neighbouring strings that form a piece.
 CLASS = 24
@@ -188,17 +193,32 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _cut(batches):
-    """The bytes of each contested context."""
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-    for batch in batches:
-        for at in range(0, batch.num_rows, 64):
-            part, rows = batch.slice(at, 64), []
-            for doc_id, text, spans in zip(part.column(0).to_pylist(), part.column(1), part.column(2).to_pylist(), strict=True):
-                raw = text.as_py().encode()
-                rows += [(doc_id, p["anchor"], p["place"] - p["first"], p["first"], raw[p["first"] : p["end"]]) for p in spans]
-            columns = zip(*rows, strict=True) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "anchor", "lead", "first", "bytes"])
+def _pieces(length: int):
+    """(doc_id, start, core, left, right) of each piece of the contested contexts.
+
+    `core` names the anchor, the piece's place to it and the bytes that all its strings share, by 128 bits;
+    left and right are the bytes around them.
+    """
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part, rows = batch.slice(at, 64), []
+                for doc_id, text, spans in zip(part.column(0).to_pylist(), part.column(1), part.column(2).to_pylist(), strict=True):
+                    whole = text.as_py().encode()
+                    for p in spans:
+                        first, lead, raw = p["first"], p["place"] - p["first"], whole[p["first"] : p["end"]]
+                        lowest = lead - (len(raw) - length)
+                        for c in range(lowest // CLASS, lead // CLASS + 1):
+                            low, high = max(lowest, c * CLASS), min(lead, c * CLASS + CLASS - 1)
+                            left, right = lead - c * CLASS, lead - (c * CLASS + CLASS - 1) + length
+                            core = hashlib.blake2b(struct.pack("<qi", p["anchor"], c) + raw[left:right], digest_size=16).digest()
+                            rows.append((doc_id, first + lead - high, core, raw[lead - high : left], raw[right : lead - low + length]))
+                columns = zip(*rows, strict=True) if rows else [[]] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "start", "core", "left", "right"])
+
+    return run
 
 
 def core_name(number: int) -> bytes:
@@ -207,41 +227,20 @@ def core_name(number: int) -> bytes:
 
 
 def _merged(length: int):
-    """(doc_id, start, end) of the runs of repeated strings; all contexts of an anchor lie in one task, sorted by anchor."""
+    """(doc_id, start, end) of the runs of repeated strings in pieces that stand once; a core's pieces follow each other."""
 
-    # Equal strings have their anchor at the same place, hence one core: its name stands for it, in all
-    # strings of a piece whole.
+    # Equal strings have one core: its name stands for it, in all strings of a piece whole.
     short = CLASS - 1 + len(core_name(0))
 
     def work(rows: list[tuple]):
-        # Neighbouring strings of a context are a piece. What all of them share (the core) must be there
-        # twice, else none repeats; equal pieces repeat as a whole and go on as one copy; the rest is merged.
-        groups: dict[tuple, dict[tuple, list[tuple[int, int, int]]]] = {}
-        for doc_id, anchor, lead, first, raw in rows:
-            lowest = lead - (len(raw) - length)
-            for c in range(lowest // CLASS, lead // CLASS + 1):
-                low, high = max(lowest, c * CLASS), min(lead, c * CLASS + CLASS - 1)
-                left, right = lead - c * CLASS, lead - (c * CLASS + CLASS - 1) + length
-                piece = (raw[lead - high : left], raw[right : lead - low + length])
-                groups.setdefault((anchor, c, raw[left:right]), {}).setdefault(piece, []).append((doc_id, first + lead - high, first + lead - low + length))
-        rest = []
-        for number, pieces in enumerate(groups.values()):
-            name = core_name(number)
-            for (left, right), places in pieces.items():
-                if len(places) > 1:
-                    yield from places
-                if len(pieces) > 1:
-                    rest.append((left + name + right, places))
-        groups.clear()
-        shards: list[list[tuple]] = [[] for _ in range(min(SHARDS, len(rest)))]
-        for i, one in enumerate(rest):
-            shards[i % len(shards)].append(one)
-        if not shards:
-            return
-        for own, found in zip(shards, repeated_starts([[text for text, _ in s] for s in shards], short), strict=True):
-            for (_, places), at in zip(own, found, strict=True):
-                if len(at) and len(places) == 1:
-                    doc_id, start, _ = places[0]
+        numbers: dict[bytes, int] = {}
+        shards: list[list[tuple]] = [[] for _ in range(min(SHARDS, len(rows)))]
+        for i, (doc_id, start, core, left, right, n) in enumerate(rows):
+            name = core_name(numbers.setdefault(core, len(numbers)))
+            shards[i % len(shards)].append((left + name + right, doc_id, start, n))
+        for own, found in zip(shards, repeated_starts([[one[0] for one in s] for s in shards], short), strict=True):
+            for (_, doc_id, start, n), at in zip(own, found, strict=True):
+                if len(at) and n == 1:
                     cuts = np.flatnonzero(np.diff(at) > 1)
                     lows, highs = at[np.r_[0, cuts + 1]], at[np.r_[cuts, len(at) - 1]]
                     yield from ((doc_id, start + int(lo), start + int(hi) + length) for lo, hi in zip(lows, highs, strict=True))
@@ -255,28 +254,45 @@ def _merged(length: int):
         held, size = [], 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                # Whole anchors are merged together; the next one starts a new lot when this one is full.
-                if size > MERGED_BYTES and row[1] != held[-1][1]:
+                # Whole cores are merged together; the next one starts a new lot when this one is full.
+                if size > MERGED_BYTES and row[2] != held[-1][2]:
                     yield batch_of(work(held))
                     held, size = [], 0
                 held.append(row)
-                size += len(row[4])
+                size += len(row[3]) + len(row[4]) + len(core_name(0))
         if held:
             yield batch_of(work(held))
 
     return run
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def _by_string(pieces: DataFrame, length: int) -> DataFrame:
+    """(doc_id, start, end) of repeated strings in pieces that stand once, for cores with many pieces: strings grouped as rows."""
+    # k bytes of a string lie before the core, CLASS - 1 - k behind it; equal strings have equal k.
+    size = F.octet_length("left")
+    k = F.sequence(F.greatest(F.lit(0), CLASS - 1 - F.octet_length("right")), F.least(F.lit(CLASS - 1), size))
+    each = pieces.withColumn("k", F.explode(k)).select(
+        "doc_id", "n", "core", "k", (F.col("start") + size - F.col("k")).alias("start"),
+        F.substr("left", size - F.col("k") + 1, F.col("k")).alias("l"), F.substr("right", F.lit(1), CLASS - 1 - F.col("k")).alias("r"),
+    )
+    key = ["core", "k", "l", "r"]
+    often = each.groupBy(*key).agg(F.count("*").alias("c")).filter("c > 1").select(*key)
+    found = each.filter("n = 1").join(_small(stored(often)), key, "left_semi")
+    return found.select("doc_id", F.col("start").cast("int").alias("start"), (F.col("start") + length).cast("int").alias("end"))
+
+
+def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MERGED_BYTES // (2 * CLASS + 3)) -> DataFrame:
     """(doc_id, start, end): runs of bytes of each text whose strings of `length` bytes start elsewhere, too.
 
     Runs of one document may overlap and touch. Texts shorter than `length`, empty and NULL ones have
-    none, and no string crosses two documents. doc_id must not repeat or be NULL.
+    none, and no string crosses two documents. doc_id must not repeat or be NULL. Cores of more than
+    `most` different pieces do not meet in one task; the result does not depend on it.
     """
     docs = docs.select("doc_id", "text")
     every = stored(docs.mapInArrow(_anchor_rows(length, gram), "doc_id long, place int, first int, last int, anchor long, context long"))
     often = every.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
-    shared = stored(every.join(often, "anchor"))
+    # Stored first, so that Spark can split the join at frequent anchors.
+    shared = stored(every.join(_small(stored(often)), "anchor"))
     contexts = shared.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "place", "first", "last")).alias("one"))
     contexts = stored(contexts)
     settled = shared.join(contexts.filter("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi")
@@ -284,19 +300,29 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
 
     # Contexts that differ from others of their anchor.
     differ = contexts.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
-    contested = contexts.join(differ, "anchor").select("one.*", "anchor")
+    contested = contexts.join(_small(stored(differ)), "anchor").select("one.*", "anchor")
     spans = contested.groupBy("doc_id").agg(
         F.collect_list(F.struct("anchor", "place", "first", (F.col("last") + length).alias("end"))).alias("spans")
     )
-    cut = docs.join(_small(stored(spans)), "doc_id").select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, anchor long, lead int, first int, bytes binary")
+    cut = docs.join(_small(stored(spans)), "doc_id").select("doc_id", "text", "spans")
+    pieces = stored(cut.mapInArrow(_pieces(length), "doc_id long, start int, core binary, left binary, right binary"))
+
+    # Equal pieces repeat as a whole and go on as one; a core with one piece is settled.
+    kinds = pieces.groupBy("core", "left", "right").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"), F.min("start").alias("start"))
+    kinds = stored(kinds)
+    equal = pieces.join(kinds.filter("n > 1").select("core", "left", "right"), ["core", "left", "right"], "left_semi")
+    end = F.col("start") + F.octet_length("left") + F.octet_length("right") + (length - CLASS + 1)
+    equal = equal.select("doc_id", "start", end.alias("end"))
+    cores = stored(kinds.groupBy("core").agg(F.count("*").alias("c")).filter("c > 1"))
+    few = kinds.join(cores.filter(F.col("c") <= most).select("core"), "core", "left_semi").select("doc_id", "start", "core", "left", "right", "n")
+    many = kinds.join(_small(cores.filter(F.col("c") > most).select("core")), "core", "left_semi")
     count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = cut.repartition(count, "anchor").sortWithinPartitions("anchor")
-    return settled.union(dealt.mapInArrow(_merged(length), "doc_id long, start int, end int"))
+    dealt = few.repartition(count, "core").sortWithinPartitions("core")
+    found = settled.union(equal).union(dealt.mapInArrow(_merged(length), "doc_id long, start int, end int"))
+    return found.union(_by_string(many, length))
 
 
 def _removed(batches):
-    import hashlib
-
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
     for batch in batches:
         rows = []

@@ -389,6 +389,32 @@ def test_repeats_against_brute_force(spark, corpus, docs):
     assert suffix_merge.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_repeats_of_one_passage_between_different_neighbours(spark, monkeypatch):
+    # One passage in many texts with other neighbours each, so that all contexts share its anchor and differ.
+    passage = prose(30, 28)
+    texts = {i: prose(1000 + i, 12) + f" {i % 7}{i % 3} " + passage + f" {i % 5}{i % 4} " + prose(2000 + i, 12) for i in range(150)}
+    frames = frame(spark, [(i, t, None, 0) for i, t in texts.items()])
+    found = {}
+    for most in (10_000, 3, 0):  # cores in one task; hot ones string by string; all string by string
+        gone = {i: set() for i in texts}
+        for r in suffix_merge.repeats(frames, 200, 32, most).collect():
+            gone[r.doc_id] |= set(range(r.start, r.end))
+        found[most] = {i: len(g) for i, g in gone.items()}
+    assert found[10_000] == found[3] == found[0] == {i: b[1] for i, b in brute_repeats(texts).items()}
+    # No task gets a core with more than `most` pieces, however many contexts share the anchor.
+    sizes, dealt = [], type(frames).mapInArrow
+
+    def seen(self, func, schema, *rest):
+        if "_merged" in func.__qualname__:
+            sizes.append(max([r["count"] for r in self.groupBy("core").count().collect()], default=0))
+        return dealt(self, func, schema, *rest)
+
+    monkeypatch.setattr(type(frames), "mapInArrow", seen)
+    for most in (10_000, 5):
+        suffix_merge.repeats(frames, 200, 32, most)
+    assert len(sizes) == 2 and sizes[0] > 100 and sizes[1] <= 5
+
+
 def test_merge_equals_sorting_all():
     rng = np.random.default_rng(8)
     shards = [["".join(rng.choice(list("ab"), rng.integers(1, 30))).encode() for _ in range(4)] for _ in range(3)]
