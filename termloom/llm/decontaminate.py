@@ -14,7 +14,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.storage import stored
+from termloom.llm.storage import keyed, stored
 
 #: A shared word list is broadcast up to this many rows and joined by shuffle beyond.
 BROADCAST_ROWS = 200_000
@@ -54,7 +54,7 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = 10, gram: int = 3
     """(doc_id, n_words, start, length, item_id): every occurrence of a window; start counts from 1.
 
     Documents without words, items without words and empty tables give no row; an item that occurs
-    several times gives one row per occurrence and window. doc_id and item_id must not repeat.
+    several times gives one row per occurrence and window. doc_id must not repeat or be NULL; callers pass a row key.
     """
     windows = stored(windows_of(items, window, gram))
     sizes = [r.size for r in windows.select("size").distinct().collect()]  # at most `gram` numbers
@@ -106,15 +106,17 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = 10, gram: int = 3
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, gram: int = 3) -> DataFrame:
     """One row per document: n_words, n_hit (words inside any occurrence), items (sorted ids), contaminated.
 
-    A NULL or wordless text has 0 words and is clean; so is every text if there are no items.
+    A NULL or wordless text has 0 words and is clean; so is every text if there are no items. Every row
+    is judged by its own text; doc_id may repeat or be NULL.
     """
-    hits = find_hits(docs, items, window, gram)
-    per_doc = hits.groupBy("doc_id").agg(
+    docs = keyed(docs.select("doc_id", "text"))
+    hits = find_hits(docs.select(F.col("row_").alias("doc_id"), "text"), items, window, gram)
+    per_doc = hits.groupBy(F.col("doc_id").alias("row_")).agg(
         F.size(F.array_distinct(F.flatten(F.collect_set(F.expr("sequence(start, start + length - 1)"))))).cast("bigint").alias("n_hit"),
         F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
     )
     total = F.size(words_of(F.col("text"))).cast("bigint")
-    out = docs.select("doc_id", total.alias("n_words")).join(per_doc, "doc_id", "left")
+    out = docs.select("row_", "doc_id", total.alias("n_words")).join(per_doc, "row_", "left")
     return out.select(
         "doc_id",
         "n_words",
@@ -125,6 +127,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, gram: int
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, gram: int = 3) -> DataFrame:
-    """The documents that hold no window of any item."""
-    hit = find_hits(docs, items, window, gram).select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    """The documents that hold no window of any item; doc_id may repeat or be NULL."""
+    rows = keyed(docs)
+    hit = find_hits(rows.select(F.col("row_").alias("doc_id"), "text"), items, window, gram).select(F.col("doc_id").alias("row_")).distinct()
+    return rows.join(hit, "row_", "left_anti").select(*docs.columns)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from termloom.llm.bytesops import mix, shingle_hashes, space_words, text_slices
 from termloom.llm.components import components
-from termloom.llm.storage import spread, stored
+from termloom.llm.storage import keyed, spread, stored
 
 #: Members of one key within one task beyond which they skip the exchange by key.
 LOCAL_HOT = 16
@@ -96,16 +96,17 @@ def part_keys(hashes: np.ndarray, threshold_pct: int) -> np.ndarray:
 def _describe(size: int):
     def run(batches):
         for batch in batches:
-            sets = list(shingle_sets(batch.column(1), size))
+            sets = list(shingle_sets(batch.column(2), size))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([signature(s) for s in sets], pa.int64()),
                     *(pa.array(c, pa.int64()) for c in np.array([sketch(s) for s in sets]).reshape(-1, len(SKETCH)).T),
                     pa.array([wide_sketch(s) for s in sets], pa.binary()),
                 ],
-                names=["doc_id", "n", "sig", *SKETCH, "wide"],
+                names=["row_", "doc_id", "n", "sig", *SKETCH, "wide"],
             )
 
     return run
@@ -240,8 +241,8 @@ def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, th
     both = both.select("a", "b", "x", "y", (F.col("m") + F.col("n")).alias("n"))
     pairs = stored(both.mapInArrow(_near(threshold_pct), "a long, b long"))
     wanted = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
-    wanted = stored(wanted.join(classes, "sig").select("sig", F.col("rep").alias("doc_id")))
-    texts = docs.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, "doc_id")
+    wanted = stored(wanted.join(classes, "sig").select("sig", F.col("rep").alias("row_")))
+    texts = docs.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, "row_")
     sets = stored(texts.select("sig", "text").mapInArrow(_set_blobs(size), "sig long, hashes binary"))
     left = sets.select(F.col("sig").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("sig").alias("b"), F.col("hashes").alias("y"))
@@ -259,20 +260,16 @@ def _may_link(threshold_pct: int):
     )
 
 
-def jaccard_join(docs: DataFrame, size: int = 5, threshold_pct: int = 75) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document.
+def groups(docs: DataFrame, size: int, threshold_pct: int) -> DataFrame:
+    """(row_, doc_id, n_shingles, group, component_id) of every row of a keyed table.
 
-    Words are runs of other characters than blanks and line ends, A-Z lower-cased. Documents link at
-    100 * |A and B| >= threshold_pct * |A or B|; component_id is the smallest doc_id reachable by
-    links. Fewer than `size` words make one shingle; a NULL or empty text has no shingle and links
-    with nothing. Repeated texts are one class; doc_id must not repeat or be NULL. An empty table
-    gives an empty result. Other columns are ignored.
+    Rows of one group are linked; group is NULL where a text has no shingle.
     """
-    docs = docs.select("doc_id", "text")
-    described = docs.mapInArrow(_describe(size), "doc_id long, n long, sig long" + "".join(f", {c} long" for c in SKETCH) + ", wide binary")
+    docs = docs.select("row_", "doc_id", "text")
+    described = docs.mapInArrow(_describe(size), "row_ long, doc_id long, n long, sig long" + "".join(f", {c} long" for c in SKETCH) + ", wide binary")
     described = stored(described)
     classes = stored(
-        described.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), *(F.max(c).alias(c) for c in ("n", *SKETCH, "wide")))
+        described.filter("n > 0").groupBy("sig").agg(F.min("row_").alias("rep"), F.min("doc_id").alias("least_id"), *(F.max(c).alias(c) for c in ("n", *SKETCH, "wide")))
     )
     shuffle = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blobs = docs.select("text").mapInArrow(_key_blobs(size, threshold_pct, shuffle), "bucket long, hot int, entries binary")
@@ -304,14 +301,33 @@ def jaccard_join(docs: DataFrame, size: int = 5, threshold_pct: int = 75) -> Dat
         comps = stored(components(links))
 
     # Components are named by their smallest document.
-    roots = classes.join(comps.withColumnRenamed("node", "sig"), "sig").groupBy("component").agg(F.min("rep").alias("component_id"))
+    roots = classes.join(comps.withColumnRenamed("node", "sig"), "sig").groupBy("component").agg(F.min("least_id").alias("component_id"))
     of_sig = classes.join(comps.withColumnRenamed("node", "sig"), "sig", "left").join(roots, "component", "left")
-    of_sig = of_sig.select("sig", F.coalesce("component_id", "rep").alias("component_id"))
+    of_sig = of_sig.select("sig", F.coalesce("component", "sig").alias("group"), F.coalesce("component_id", "least_id").alias("component_id"))
     out = described.withColumn("sig", F.when(F.col("n") > 0, F.col("sig"))).join(of_sig, "sig", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("row_", "doc_id", F.col("n").alias("n_shingles"), "group", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def jaccard_join(docs: DataFrame, size: int = 5, threshold_pct: int = 75) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document.
+
+    Words are runs of other characters than blanks and line ends, A-Z lower-cased. Documents link at
+    100 * |A and B| >= threshold_pct * |A or B|; component_id is the smallest doc_id reachable by
+    links (NULL if none of them has one). Fewer than `size` words make one shingle; a NULL or empty
+    text has no shingle and links with nothing. Repeated texts are one class; doc_id may repeat or be
+    NULL. An empty table gives an empty result. Other columns are ignored.
+    """
+    return groups(keyed(docs.select("doc_id", "text")), size, threshold_pct).select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame, size: int = 5, threshold_pct: int = 75) -> DataFrame:
-    """The documents that stay when one of each group of near copies is kept (the smallest doc_id)."""
-    groups = jaccard_join(docs, size, threshold_pct)
-    return docs.join(groups.filter("doc_id = component_id").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    """The documents that stay when one of each group of near copies is kept.
+
+    It is the one of the smallest doc_id, a missing one last; of rows that share it, one. Texts without a
+    shingle stay.
+    """
+    rows = keyed(docs)
+    of_row = stored(groups(rows, size, threshold_pct).select("row_", "doc_id", "group"))
+    first = of_row.filter("group is not null").groupBy("group").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "row_")).alias("one"))
+    kept = first.select("one.row_").union(of_row.filter("group is null").select("row_"))
+    return rows.join(kept, "row_", "left_semi").select(*docs.columns)

@@ -8,6 +8,7 @@ import types
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,6 +31,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keyed(df: DataFrame) -> DataFrame:
+    """df with `row_`, a key of each row that is stored, so that ids may repeat or be NULL."""
+    return stored(df.withColumn("row_", F.monotonically_increasing_id()))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """At least as many partitions as the cluster has cores, so that small inputs use all of them."""
     cores = df.sparkSession.sparkContext.defaultParallelism

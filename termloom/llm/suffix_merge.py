@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm.bytesops import mix, powers, text_slices
-from termloom.llm.storage import stored
+from termloom.llm.storage import keyed, stored
 
 LENGTH = 200
 GRAM = 32
@@ -285,7 +285,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int =
     """(doc_id, start, end): runs of bytes of each text whose strings of `length` bytes start elsewhere, too.
 
     Runs of one document may overlap and touch. Texts shorter than `length`, empty and NULL ones have
-    none, and no string crosses two documents. doc_id must not repeat or be NULL. Cores of more than
+    none, and no string crosses two documents. doc_id must not repeat or be NULL (callers pass a row key). Cores of more than
     `most` different pieces do not meet in one task; the result does not depend on it.
     """
     docs = docs.select("doc_id", "text")
@@ -348,9 +348,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
 
     Every byte covered by a string of `length` bytes that starts anywhere else is removed, in all
     places; strings are judged on the input. n_spans counts maximal removed runs. A NULL text is empty;
-    an empty table gives no row; other columns are ignored.
+    an empty table gives no row; other columns are ignored. doc_id may repeat or be NULL.
     """
-    found = repeats(docs, length, gram)
-    runs = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
-    joined = docs.select("doc_id", "text").join(_small(stored(runs)), "doc_id", "left").select("doc_id", "text", "runs")
+    docs = keyed(docs.select("doc_id", "text"))
+    found = repeats(docs.select(F.col("row_").alias("doc_id"), "text"), length, gram)
+    runs = found.groupBy(F.col("doc_id").alias("row_")).agg(F.collect_list(F.struct("start", "end")).alias("runs"))
+    joined = docs.join(_small(stored(runs)), "row_", "left").select("doc_id", "text", "runs")
     return joined.mapInArrow(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -424,6 +424,31 @@ def test_merge_equals_sorting_all():
             assert places.tolist() == [i for i in range(len(text) - 4) if every.count(text[i : i + 5]) > 1]
 
 
+# Missing and repeated ids
+
+
+def test_ids_may_be_missing_or_repeat(spark):
+    one, two, hit = prose(70, 60), prose(71, 60), prose(72, 12)
+    near = " ".join([*one.split()[:-1], "other"])
+    rows = [(5, one, "en", 1), (5, one, "en", 1), (None, near, "en", 2), (7, two, "en", 3), (None, "so " + hit, "en", 4), (None, None, None, 5), (8, hit, "en", 6), (8, "clean", "en", 7)]
+    docs = frame(spark, rows)
+    items = frame(spark, [(1, hit), (1, hit), (None, "nowhere at all")], "item_id long, text string")
+    found = sorted((str(r.doc_id), r.n_words, r.n_hit) for r in decontaminate.contamination(docs, items).collect())
+    assert found == sorted((str(i), *brute_hits(t, [(1, hit)])[:2]) for i, t, _, _ in rows)
+    assert sorted(r.key for r in decontaminate.without_contaminated(docs, items).collect()) == [1, 1, 2, 3, 5, 7]
+
+    groups = sorted((str(r.doc_id), str(r.component_id), r.n_shingles) for r in ngram_jaccard.jaccard_join(docs).collect())
+    assert groups == sorted([("5", "5", 56), ("5", "5", 56), ("None", "5", 56), ("7", "7", 56), ("None", "8", 9), ("None", "None", 0), ("8", "8", 8), ("8", "8", 1)])
+    kept = ngram_jaccard.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(r.key for r in kept.collect()) == [1, 3, 5, 6, 7]
+    alone = frame(spark, [(None, one, None, 1), (None, near, None, 2), (None, one, None, 1)])
+    assert ngram_jaccard.keep_one(alone).count() == 1
+
+    wanted = brute_repeats(dict(enumerate(t for _, t, _, _ in rows)))
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_merge.remove_repeats(docs).collect())
+    assert got == sorted((str(i), *wanted[k]) for k, (i, _, _, _) in enumerate(rows))
+
+
 # Similarity join
 
 
