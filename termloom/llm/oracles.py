@@ -32,4 +32,26 @@ select page_id, n.host as host, n.path as path, own.rule as rule, coalesce(own.v
 from p join n on p.url is not distinct from n.url left join own on own.url = p.url left join comp on comp.node = n.node
 """
 
-SQL = {"op2_decontaminate": DECONTAMINATE, "op3_url_filter": URL_FILTER}
+#: Bits of the failed filters a document, counted by part, then applied in each order.
+FILTER_AUDIT = r"""
+with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t from documents),
+m as (select *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') as words from d),
+f as (select doc_id, part, [len(words) < 100, 100 * len(list_distinct(words)) < 80 * len(words),
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t), regexp_matches(t, '[#$%&*|]'),
+    coalesce(min(doc_id) over (partition by t) < doc_id, false)] as failed,
+    coalesce(doc_id in (select doc_id from labels where quality = 1), false) as good, coalesce(doc_id in (select doc_id from labels where toxic = 1), false) as toxic from m),
+g as (select part, failed, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from f group by part, failed),
+l as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (select a.x || b.x || c.x || d.x || e.x as o from l a, l b, l c, l d, l e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps as (select o, cast(i as integer) as step, ascii(o[i]) - 64 as f, list_transform(range(1, i), lambda k: ascii(o[k]) - 64) as before from orders, range(1, 6) r(i)),
+s as (select part, o, step, f, failed[f] as own, len(list_filter(before, lambda k: failed[k])) > 0 as gone,
+  len(list_filter(failed, lambda x: x)) = 1 as alone, n, good, toxic from steps, g),
+c as (select part, o as filter_order, step, f, coalesce(sum(n) filter (not own and not gone), 0) as kept, coalesce(sum(n) filter (own and not gone), 0) as removed,
+  coalesce(sum(n) filter (own and gone), 0) as redundant, coalesce(sum(n) filter (own and alone), 0) as unique_fails,
+  coalesce(sum(good) filter (own and not gone), 0) as good_lost, coalesce(sum(toxic) filter (own and not gone), 0) as toxic_lost from s group by part, o, step, f)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed, cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
+  cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost, cast(sum(removed) over (partition by part, f) as bigint) as shapley from c
+"""
+
+SQL = {"op11_filter_audit": FILTER_AUDIT, "op2_decontaminate": DECONTAMINATE, "op3_url_filter": URL_FILTER}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import decontaminate, embedding_forest, language, ngram_jaccard, packing, secrets, suffix_merge, surrogates, urls, weak_quality
+from termloom.llm import decontaminate, embedding_forest, filter_audit, language, ngram_jaccard, packing, secrets, suffix_merge, surrogates, urls, weak_quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +90,10 @@ def op10_ngram_jaccard(spark, sf_dir):
     return ngram_jaccard.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -103,6 +107,7 @@ QUERIES = {
         op8_language,
         op9_suffix_merge,
         op10_ngram_jaccard,
+        op11_filter_audit,
     )
 }
 
