@@ -54,4 +54,32 @@ select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as b
   cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost, cast(sum(removed) over (partition by part, f) as bigint) as shapley from c
 """
 
-SQL = {"op11_filter_audit": FILTER_AUDIT, "op2_decontaminate": DECONTAMINATE, "op3_url_filter": URL_FILTER}
+WARC_SALVAGE = r"""
+with p as (select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
+f as (select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) end as first from p)
+select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest, case when first is null or first is not distinct from page_id then 'response' else 'revisit' end as record_type,
+  case when first is not null and first is distinct from page_id then first end as refers_to from f
+"""
+
+#: Dense: every group with every kept term.
+DIVERGENCE = r"""
+with d as (select doc_id, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as t from documents),
+w as (select row_number() over () as i, lang, source, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as words from d),
+o as (select i, lang, source, unnest(words) as term from w),
+kept as (select lang, term from o group by lang, term having count(distinct i) >= 30),
+groups as (select distinct lang, source from d),
+c as (select lang, source, term, count(*) as n from o join kept using (lang, term) group by lang, source, term),
+v as (select g.lang, count(k.term) as terms from (select distinct lang from d) g left join kept k using (lang) group by g.lang),
+cells as (select lang, source, term, coalesce(n, 0) as n from groups join kept using (lang) left join c using (lang, source, term)),
+p as (select lang, source, term, n, 1 + (1000000000::hugeint * (n + 5)) // (sum(n) over (partition by lang, source) + 5 * terms) as p from cells join v using (lang)),
+l as (select lang, term, sum(n) as n from cells group by lang, term),
+q as (select lang, term, 1 + (1000000000::hugeint * (n + 5)) // (sum(n) over (partition by lang) + 5 * terms) as q from l join v using (lang)),
+pairs as (select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+  union all select a.lang, a.source, b.source, 0 from groups a join groups b on a.lang = b.lang and a.source <> b.source join v on v.lang = a.lang where terms = 0),
+terms as (select lang, source, term as item, p - q as value from p join q using (lang, term) where n > 0 and p > q)
+select lang, source, 'pair' as part, item, cast(value as bigint) as value, cast(row_number() over (partition by lang, source order by value desc, item) as integer) as rank from pairs
+union all
+select lang, source, 'term', item, cast(value as bigint), cast(r as integer) from (select *, row_number() over (partition by lang, source order by value desc, item) as r from terms) where r <= 50
+"""
+
+SQL = {"op13_divergence": DIVERGENCE, "op12_warc_salvage": WARC_SALVAGE, "op11_filter_audit": FILTER_AUDIT, "op2_decontaminate": DECONTAMINATE, "op3_url_filter": URL_FILTER}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm import decontaminate, embedding_forest, filter_audit, language, ngram_jaccard, packing, secrets, suffix_merge, surrogates, urls, weak_quality
+from termloom.llm import decontaminate, divergence, embedding_forest, filter_audit, language, ngram_jaccard, packing, secrets, suffix_merge, surrogates, urls, warc, weak_quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,6 +94,14 @@ def op11_filter_audit(spark, sf_dir):
     return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_warc_salvage(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op13_divergence(spark, sf_dir):
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -108,6 +116,8 @@ QUERIES = {
         op9_suffix_merge,
         op10_ngram_jaccard,
         op11_filter_audit,
+        op12_warc_salvage,
+        op13_divergence,
     )
 }
 
