@@ -68,4 +68,5 @@ def recommend_length(
 
 
 def over_limit(length: Column, limit: Column) -> Column:
+    """Whether a sample would be cut at the limit."""
     return length > limit

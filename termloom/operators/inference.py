@@ -3,22 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from termloom.functions import tokens
 from termloom.operators.ordering import row_index
+from termloom.workers import per_worker
 
-GENERIC_BATCH = 8
-RECALL_BATCH = 16
-CHOICE_BATCH = 32
 
-RECALL_NEW_TOKENS = 256
-CHOICE_NEW_TOKENS = 16
-VALIDATION_NEW_TOKENS = 128
+@dataclass(frozen=True)
+class Generation:
+    """How a model is asked: prompts at a time, and new tokens an answer may have."""
 
-Predict = Callable[[list[str]], Sequence[str]]
+    batch_size: int
+    max_new_tokens: int | None = None
+
+
+# The settings of each use.
+GENERIC = Generation(8, 256)
+RECALL = Generation(16, 256)
+CHOICE = Generation(32, 16)
+VALIDATION = Generation(1, 128)
+
+GENERIC_BATCH = GENERIC.batch_size
+RECALL_BATCH = RECALL.batch_size
+
+#: A list of prompts to as many answers; with a limit, it takes ``max_new_tokens`` as well.
+Predict = Callable[..., Sequence[str]]
 
 
 def assign_batches(
@@ -48,27 +61,30 @@ def predict_batches(
     prompt: str = "prompt",
     output: str = "prediction",
     batch_size: int = GENERIC_BATCH,
+    max_new_tokens: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Adds the model's stripped answer to every row.
 
-    ``load_model()`` runs once per task and returns a function from a list of prompts to as many
-    answers; settings such as the number of new tokens belong into it. Rows keep their columns,
-    so answers need no alignment afterwards.
+    ``load_model()`` runs once per worker and returns a function from a list of prompts to as many
+    answers; with ``max_new_tokens`` that function gets the limit by this name. Rows keep their
+    columns, so answers need no alignment afterwards. ``tasks`` spreads the rows first, so that a slow model
+    runs on all workers.
     """
     schema = T.StructType([*df.schema.fields, T.StructField(output, T.StringType())])
+    model = per_worker(load_model)
+    limits = {} if max_new_tokens is None else {"max_new_tokens": max_new_tokens}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predict = None
         for rows in batches:
-            if predict is None:
-                predict = load_model()
+            predict = model()
             prompts, answers = rows.column(prompt).to_pylist(), []
             for start in range(0, len(prompts), batch_size):
                 asked = prompts[start : start + batch_size]
-                given = list(predict(asked))
+                given = list(predict(asked, **limits))
                 if len(given) != len(asked):
                     raise ValueError(f"{len(asked)} prompts, but {len(given)} answers")
                 answers.extend(text and text.strip() for text in given)
             yield rows.append_column(output, pa.array(answers, pa.string()))
 
-    return df.mapInArrow(run, schema)
+    return (df.repartition(tasks) if tasks else df).mapInArrow(run, schema)

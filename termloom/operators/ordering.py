@@ -7,11 +7,18 @@ narrow passes, and gives every row its position from the counts in front of it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from termloom.functions.hashing import DRAW_DIGITS, slot
-from termloom.session import cut_lineage
+
+# Ranges a group is cut into at a time, and the rows from which on a group is cut again.
+GROUPS = 65_536
+GROUP_ROWS = 1_000_000
+# Bytes of a range of shuffled rows.
+RANGE_BYTES = 128 << 20
+MOST_DOUBLE = 1.7976931348623157e308
 
 # 16**4 = 65,536 counters at most per pass: a fixed bound, whatever the number of rows.
 STEP_DIGITS = 4
@@ -86,25 +93,108 @@ def row_index(df: DataFrame, drawn: str, name: str = "row_index") -> DataFrame:
     )
 
 
-def rank_by(df: DataFrame, *order: Column, name: str = "position") -> DataFrame:
-    """0-based position in any order, for values that are not uniform.
+def _number(df: DataFrame, column: str) -> Column:
+    """A number in the order of the values: texts by their first six bytes."""
+    value = F.col(f"`{column}`")
+    if isinstance(df.schema[column].dataType, (T.StringType, T.BinaryType)):
+        start = F.rpad(F.hex(F.substring(value.cast("binary"), 1, 6)), 12, "0")
+        return F.conv(start, 16, 10).cast("double")
+    return value.cast("double")
 
-    A range sort splits hot values as long as ``order`` ends in a unique key. Positions within
-    the sorted partitions come from their running ids, fixed by a checkpoint; the counts per
-    partition are the only other data moved.
-    """
-    placed = cut_lineage(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
-    part = F.shiftrightunsigned("_id", 33)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
-    running = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_part", F.coalesce(F.sum("_rows").over(running), F.lit(0)).alias("_before")
+
+def _finite(number: Column) -> Column:
+    return F.when(F.abs(number) <= F.lit(MOST_DOUBLE), number)
+
+
+def _spot(number: Column, low: Column, high: Column) -> Column:
+    """Group of a number between two bounds; NULL, infinities and NaN stand beside the groups."""
+    # Halves, as the distance of two doubles may be none.
+    share = (number / 2 - low / 2) / (high / 2 - low / 2) * GROUPS
+    inside = F.least(F.greatest(F.floor(F.coalesce(share, F.lit(0.0))), F.lit(0)), F.lit(GROUPS - 1))
+    return (
+        F.when(number.isNull(), -2)
+        .when(F.isnan(number), GROUPS + 1)
+        .when(number > MOST_DOUBLE, GROUPS)
+        .when(number < -MOST_DOUBLE, -1)
+        .otherwise(inside)
+        .cast("int")
     )
+
+
+def grouped_for_rank(
+    df: DataFrame, value: str, key: str, descending: bool = False, group_rows: int = GROUP_ROWS, levels: int = 3
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with their groups ``_g1`` to ``_g3``, and the groups with the number of rows before each.
+
+    Rows fall into GROUPS equal ranges of the value. A group of more than ``group_rows`` rows is cut again,
+    between its own bounds: by value, or by key where all its values are one. So a value that a third
+    of the rows share is spread by its keys. What is larger after the last cut stays a group.
+    """
+    sign = -1 if descending else 1
+    rows = df.withColumns({"_v": _number(df, value), "_k": _number(df, key)})
+    bounds = [
+        F.min(_finite(F.col("_v"))).alias("_v_low"),
+        F.max(_finite(F.col("_v"))).alias("_v_high"),
+        F.min(_finite(F.col("_k"))).alias("_k_low"),
+        F.max(_finite(F.col("_k"))).alias("_k_high"),
+    ]
+    whole = rows.agg(F.struct(*bounds)).scalar()
+    rows = rows.withColumn("_g1", sign * _spot(F.col("_v"), whole["_v_low"], whole["_v_high"]))
+    names, sizes, cut = ["_g1"], [], rows
+    for level in range(2, levels + 2):
+        size = cut.groupBy(*names).agg(F.count("*").alias("_rows"), *bounds)
+        sizes.append((list(names), size))
+        if level > levels:
+            break
+        # A group is large for at least group_rows rows, so there are few: at most one per group_rows.
+        large = F.broadcast(size.filter(F.col("_rows") > group_rows).drop("_rows").withColumn("_large", F.lit(True)))
+        name = f"_g{level}"
+        by_value = sign * _spot(F.col("_v"), F.col("_v_low"), F.col("_v_high"))
+        by_key = _spot(F.col("_k"), F.col("_k_low"), F.col("_k_high"))
+        finer = F.when(F.col("_large"), F.when(F.col("_v_high") > F.col("_v_low"), by_value).otherwise(by_key)).otherwise(0)
+        gone = ["_large", "_v_low", "_v_high", "_k_low", "_k_high"]
+        rows = rows.join(large, names, "left").withColumn(name, finer).drop(*gone)
+        # Only rows of large groups are counted once more.
+        cut = cut.join(large, names).withColumn(name, finer).drop(*gone)
+        names = [*names, name]
+
+    # Rows before a group: those before the group it was cut from, and those of its elder siblings.
+    before = F.lit(0)
+    parents: DataFrame | None = None
+    leaves = []
+    for by, size in sizes:
+        here = size.select(*by, "_rows")
+        last = by[-1]
+        running = Window.partitionBy(*by[:-1]).orderBy(last).rowsBetween(Window.unboundedPreceding, -1)
+        placed = here.withColumn("_before", F.coalesce(F.sum("_rows").over(running), F.lit(0)))
+        if parents is not None:
+            up = parents.select(*by[:-1], F.col("_before").alias("_up"))
+            placed = placed.join(up, by[:-1]).withColumn("_before", F.col("_before") + F.col("_up")).drop("_up")
+        missing = [F.lit(0).alias(n) for n in names if n not in by]
+        final = placed if by == names else placed.filter(F.col("_rows") <= group_rows)
+        leaves.append(final.select(*by, *missing, "_before").select(*names, "_before"))
+        parents = placed
+    return rows.drop("_v", "_k"), reduce(DataFrame.unionAll, leaves)
+
+
+def rank_by(
+    df: DataFrame, value: str, key: str, descending: bool = False, name: str = "position", group_rows: int = GROUP_ROWS
+) -> DataFrame:
+    """0-based position in the order of ``value``, ties by ``key``, for values that are not uniform.
+
+    Groups in the order of the values are counted and cut further only where they are too large, then ranked
+    one by one. The plan is lazy: passes read value and key only, and those for further cuts end at once where no
+    group needs them. Repeated (value, key) rows take neighbouring positions.
+    """
+    rows, leaves = grouped_for_rank(df, value, key, descending, group_rows)
+    names = ["_g1", "_g2", "_g3"]
+    first = F.col(f"`{value}`").desc() if descending else F.col(f"`{value}`").asc()
+    within = Window.partitionBy(*names).orderBy(first, F.col(f"`{key}`"))
     return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")  # one row per sorted partition
-        .withColumn(name, F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
-        .drop("_id", "_part", "_before")
+        rows.withColumn("_rank", F.row_number().over(within))
+        .join(leaves, names)
+        .withColumn(name, F.col("_before") + F.col("_rank") - 1)
+        .select(*(F.col(f"`{c}`") for c in df.columns), name)
     )
 
 
@@ -119,14 +209,68 @@ def head(df: DataFrame, *order: Column, count: int = 3) -> DataFrame:
     return df.orderBy(*order).limit(count)
 
 
-def shuffle_rows(df: DataFrame, drawn: str, partitions: int | None = None) -> DataFrame:
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: of its texts, of nested values as JSON, and eight for anything else."""
+    sizes = [F.lit(0).cast("bigint")]
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            column = F.to_json(F.struct(column))
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.lit(8))
+            continue
+        sizes.append(F.coalesce(F.octet_length(column), F.lit(0)))
+    return sum(sizes[1:], sizes[0])
+
+
+def range_count(df: DataFrame, drawn: str, size: Column, range_bytes: int) -> int:
+    """The fewest halvings of the range of draws that leave at most ``range_bytes`` in each part.
+
+    Bytes are counted per leading digits: 65,536 counters at first, added up for every number of halvings. Only a
+    table that fills more parts than that is counted by more digits. A part with a single draw cannot be
+    cut, whatever its bytes. Runs one job, and one more for each of the rare further counts.
+    """
+    wanted = 0
+    for digits in (STEP_DIGITS, STEP_DIGITS + 2):
+        head = F.conv(F.substring(drawn, 1, digits), 16, 10).cast("bigint")
+        counted = (
+            df.select(head.alias("head"), size.alias("size"))
+            .groupBy("head")
+            .agg(F.sum("size").alias("size"), F.count("*").alias("rows"))
+        )
+        halved = counted.withColumn("halvings", F.explode(F.sequence(F.lit(0), F.lit(4 * digits))))
+        part = F.expr(f"shiftright(head, {4 * digits} - halvings)").alias("part")
+        parts = halved.groupBy("halvings", part).agg(
+            F.sum("size").alias("size"), F.sum("rows").alias("rows")
+        )
+        fits = F.bool_and((F.col("size") <= range_bytes) | (F.col("rows") == 1))
+        whole = F.sum("size")
+        levels = parts.groupBy("halvings").agg(fits.alias("fits"), whole.alias("size"))
+        found = levels.agg(F.min(F.when(F.col("fits"), F.col("halvings"))), F.max("size")).first()
+        if found[1] is None:
+            return 1
+        if found[0] is not None:
+            return 1 << found[0]
+        wanted = max(0, -(-found[1] // range_bytes) - 1).bit_length()
+    # Rows of very uneven size: parts of that many bytes on average.
+    return 1 << wanted
+
+
+def shuffle_rows(
+    df: DataFrame,
+    drawn: str,
+    partitions: int | None = None,
+    range_bytes: int = RANGE_BYTES,
+    size: Column | None = None,
+) -> DataFrame:
     """Seeded permutation: rows globally sorted by their draws.
 
     Draws are uniform, so equal ranges of them are known in advance and rows go straight to
-    their range. ``orderBy`` would read the input twice to sample its range bounds. The order is
-    the same for any number of partitions.
+    their range; ``orderBy`` would sample its range bounds from the rows. Without ``partitions`` there are as many
+    ranges as it takes to hold at most ``range_bytes`` (of ``size``) each, found from a histogram of the draws. The
+    order is the same for any number of ranges.
     """
     if partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = range_count(df, drawn, row_bytes(df) if size is None else size, range_bytes)
     target = slot(F.col(drawn), F.lit(partitions))
     return df.repartitionById(partitions, target).sortWithinPartitions(drawn)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from termloom.functions.lengths import recommend_length
+from termloom.functions.lengths import over_limit, recommend_length
 
 PERCENTILES = (0.5, 0.95, 0.99)
 HISTOGRAM_BINS = 20
@@ -29,10 +29,15 @@ def length_stats(lengths: DataFrame, column: str = "length") -> DataFrame:
     Percentiles interpolate linearly and are exact. They are taken over the histogram, so no task
     receives more than one counter per distinct length.
     """
+    return stats_of_histogram(length_histogram(lengths, column))
+
+
+def stats_of_histogram(counted: DataFrame) -> DataFrame:
+    """``length_stats`` of a ``length_histogram``."""
     length, samples = F.col("length"), F.col("samples")
     percentiles = F.percentile(length, F.array(*(F.lit(p) for p in PERCENTILES)), samples)
     return (
-        length_histogram(lengths, column)
+        counted
         .agg(
             F.min(length).alias("min"),
             F.max(length).alias("max"),
@@ -56,11 +61,16 @@ def length_stats(lengths: DataFrame, column: str = "length") -> DataFrame:
 
 def over_limit_share(lengths: DataFrame, limit: Column, column: str = "length") -> DataFrame:
     """Samples above the limit, their number and percentage; zero when none is."""
+    return over_limit_of_histogram(length_histogram(lengths, column), limit)
+
+
+def over_limit_of_histogram(counted: DataFrame, limit: Column) -> DataFrame:
+    """``over_limit_share`` of a ``length_histogram``."""
     return (
-        length_histogram(lengths, column)
+        counted
         .agg(
             F.coalesce(
-                F.sum(F.when(F.col("length") > limit, F.col("samples"))), F.lit(0)
+                F.sum(F.when(over_limit(F.col("length"), limit), F.col("samples"))), F.lit(0)
             ).alias("over_limit"),
             F.coalesce(F.sum("samples"), F.lit(0)).alias("num_samples"),
         )

@@ -84,15 +84,20 @@ def abbreviation_accuracy() -> Column:
     )
 
 
+def scored_counts() -> list[Column]:
+    """Aggregates: rows with and without a semantic score."""
+    return [F.count("score").alias("num_scored"), F.count_if(F.col("score").isNull()).alias("num_unscored")]
+
+
 def recall_report(
     rows: DataFrame, run_name: str | None = None, timestamp: str | None = None
 ) -> DataFrame:
     """One row in the shape of ``schemas.RECALL_REPORT`` from ``judged`` rows with a ``score``.
 
-    The semantic gate fails while any row has no score.
+    The semantic gate fails while any row has no score; the report tells how many.
     """
     metrics = rows.agg(
-        F.count_if(F.col("score").isNull()).alias("_unscored"),
+        *scored_counts(),
         F.struct(
             F.avg("score").alias("f1_mean"), F.stddev_pop("score").alias("f1_std")
         ).alias("bertscore"),
@@ -103,7 +108,7 @@ def recall_report(
     passed = F.struct(
         (
             grading.at_least(F.col("bertscore.f1_mean"), grading.MIN_SEMANTIC_F1)
-            & (F.col("_unscored") == 0)
+            & (F.col("num_unscored") == 0)
         ).alias("bertscore"),
         grading.at_least(F.col("headword_recall.accuracy"), grading.MIN_HEADWORD_RECALL).alias(
             "headword"
@@ -118,6 +123,8 @@ def recall_report(
         F.lit(run_name).cast("string").alias("run_name"),
         F.lit(timestamp).cast("string").alias("timestamp"),
         grading.all_passed(F.col("passed"), ["bertscore", "headword"]).alias("overall_passed"),
+        "num_scored",
+        "num_unscored",
     )
 
 
@@ -128,6 +135,7 @@ def validation_report(rows: DataFrame) -> DataFrame:
         F.stddev_pop("score").alias("bertscore_std"),
         headword_accuracy("strict")["accuracy"].alias("headword_recall"),
         F.count("*").alias("num_samples"),
+        *scored_counts(),
     )
 
 

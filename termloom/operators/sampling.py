@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from termloom.functions.grading import extract_headword
 from termloom.functions.hashing import draw, row_key
 from termloom.operators.ordering import cut_point, up_to
+from termloom.operators.rank_index import RankIndex
 
 SAMPLE_SEED = 42
 SPLIT_SEED = 3407
@@ -18,12 +19,19 @@ QUICK_SAMPLES = 50
 VALIDATION_SAMPLES = 100
 SAMPLES_PER_SUBJECT = 20
 
+# What an index of a table's draws is made for.
+DRAWS = (
+    (SAMPLE_SEED, "holdout"),
+    (SPLIT_SEED, "split"),
+    (SAMPLE_SEED, "cap"),
+    (SAMPLE_SEED, "validation"),
+    (SAMPLE_SEED, "shuffle"),
+    (SAMPLE_SEED, "index"),
+)
+
 # Copies of one row are rebuilt in runs of this length, spread over tasks.
 COPIES_PER_RUN = 100_000
 
-STRATUM_DIGITS = 4
-
-
 def with_draw(df: DataFrame, key: str, seed: int, salt: str, name: str = "drawn") -> DataFrame:
     return df.withColumn(name, draw(seed, F.col(key), F.lit(salt)))
 
@@ -66,26 +74,47 @@ def split_size(ratio: float) -> Callable[[Column], Column]:
     return lambda n: F.ceil(n.cast("double") * F.lit(ratio))
 
 
+def _cut(
+    drawn: DataFrame, seed: int, salt: str, size: Callable[[Column], Column], index: RankIndex | None
+) -> Column:
+    """The last draw of a sample: from the index where the table has one, else from passes over it."""
+    if index is not None:
+        return index.cut(seed, salt, size)
+    return cut_point(drawn, "drawn", size).scalar()
+
+
 def mark_fraction(
-    df: DataFrame, key: str, ratio: float = TEST_RATIO, seed: int = SAMPLE_SEED
+    df: DataFrame,
+    key: str,
+    ratio: float = TEST_RATIO,
+    seed: int = SAMPLE_SEED,
+    index: RankIndex | None = None,
 ) -> DataFrame:
     """Column ``held``, true for exactly ``max(1, int(n * ratio))`` rows; ``key`` must be unique.
 
     Sample and rest then differ by a comparison per row, so no join takes them apart.
     """
     drawn = with_draw(df, key, seed, "holdout")
-    cut = cut_point(drawn, "drawn", fraction_size(ratio)).scalar()
+    cut = _cut(drawn, seed, "holdout", fraction_size(ratio), index)
     return drawn.withColumn("held", F.col("drawn") <= cut).drop("drawn")
 
 
 def exact_fraction(
-    df: DataFrame, key: str, ratio: float = TEST_RATIO, seed: int = SAMPLE_SEED
+    df: DataFrame,
+    key: str,
+    ratio: float = TEST_RATIO,
+    seed: int = SAMPLE_SEED,
+    index: RankIndex | None = None,
 ) -> DataFrame:
-    return mark_fraction(df, key, ratio, seed).filter("held").drop("held")
+    return mark_fraction(df, key, ratio, seed, index).filter("held").drop("held")
 
 
 def label_split(
-    df: DataFrame, key: str, ratio: float = EVAL_SPLIT, seed: int = SPLIT_SEED
+    df: DataFrame,
+    key: str,
+    ratio: float = EVAL_SPLIT,
+    seed: int = SPLIT_SEED,
+    index: RankIndex | None = None,
 ) -> DataFrame:
     """Column ``split`` with 'eval' for exactly ``ceil(n * ratio)`` rows and 'train' otherwise.
 
@@ -95,15 +124,19 @@ def label_split(
     if not ratio:
         return df.withColumn("split", F.lit("train"))
     drawn = with_draw(df, key, seed, "split")
-    cut = cut_point(drawn, "drawn", split_size(ratio)).scalar()
+    cut = _cut(drawn, seed, "split", split_size(ratio), index)
     label = F.when(F.col("drawn") <= cut, "eval").otherwise("train")
     return drawn.withColumn("split", label).drop("drawn")
 
 
 def train_eval_split(
-    df: DataFrame, key: str, ratio: float = EVAL_SPLIT, seed: int = SPLIT_SEED
+    df: DataFrame,
+    key: str,
+    ratio: float = EVAL_SPLIT,
+    seed: int = SPLIT_SEED,
+    index: RankIndex | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
-    labelled = label_split(df, key, ratio, seed)
+    labelled = label_split(df, key, ratio, seed, index)
     train = labelled.filter(F.col("split") == "train").drop("split")
     if not ratio:
         return train, None
@@ -111,13 +144,18 @@ def train_eval_split(
 
 
 def cap_rows(
-    df: DataFrame, key: str, count: int | None, seed: int = SAMPLE_SEED, salt: str = "cap"
+    df: DataFrame,
+    key: str,
+    count: int | None,
+    seed: int = SAMPLE_SEED,
+    salt: str = "cap",
+    index: RankIndex | None = None,
 ) -> DataFrame:
     """Exactly ``count`` rows if there are more; all rows otherwise or without a count."""
     if not count:
         return df
     drawn = with_draw(df, key, seed, salt)
-    cut = cut_point(drawn, "drawn", lambda n: F.lit(count)).scalar()
+    cut = _cut(drawn, seed, salt, lambda n: F.lit(count), index)
     return up_to(drawn, "drawn", cut).drop("drawn")
 
 
@@ -134,33 +172,19 @@ def stratified_sample(
     count: int = SAMPLES_PER_SUBJECT,
     seed: int = SAMPLE_SEED,
 ) -> DataFrame:
-    """Up to ``count`` rows of each stratum.
+    """Up to ``count`` rows of each stratum: those with the smallest draws.
 
-    Rows are located by counts per stratum and leading digits, as in ``cut_point``, so that no
-    stratum is sent to one task whatever the count.
+    Tasks drop all but ``count`` rows of a stratum and leading digit before the shuffle, which spreads a
+    stratum over as many groups; what is left of it, at most 16 times ``count`` rows, is ranked as one.
     """
-    drawn = with_draw(df, key, seed, "stratum")
-    headed = drawn.withColumn("_head", F.substring("drawn", 1, STRATUM_DIGITS)).withColumn(
-        "_stratum", F.struct(stratum)
-    )
-    running = (
-        Window.partitionBy("_stratum")
-        .orderBy("_head")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    needed = (
-        headed.groupBy("_stratum", "_head")
-        .agg(F.count("*").alias("_rows"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(running), F.lit(0)))
-        .filter(F.col("_before") < count)
-        .drop("_rows")
-    )
-    within = Window.partitionBy("_stratum", "_head").orderBy("drawn")
+    drawn = with_draw(df, key, seed, "stratum").withColumn("_head", F.substring("drawn", 1, 1))
+    spread = Window.partitionBy(stratum, "_head").orderBy("drawn")
+    whole = Window.partitionBy(stratum).orderBy("drawn")
+    few = drawn.withColumn("_rank", F.row_number().over(spread)).filter(F.col("_rank") <= count)
     return (
-        headed.join(needed, ["_stratum", "_head"])
-        .withColumn("_rank", F.col("_before") + F.row_number().over(within))
+        few.withColumn("_rank", F.row_number().over(whole))
         .filter(F.col("_rank") <= count)
-        .drop("_stratum", "_head", "_before", "_rank", "drawn")
+        .drop("_head", "_rank", "drawn")
     )
 
 

@@ -5,9 +5,12 @@ Nested results are flattened and doubles rounded, so that another engine's rows
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from termloom.functions import chat, lengths, questions, terms, tokens, validity
 from termloom.functions.hashing import draw
@@ -21,11 +24,14 @@ from termloom.operators import (
     overlap,
     pairs,
     profile,
+    rank_index,
     recall,
     sampling,
+    semantic,
 )
 from termloom.plans.standins import standin, table
-from termloom.plans.training import training_pairs
+from termloom.plans.training import compare_reports, training_pairs
+from termloom.session import shared_folder
 from termloom.sources.jsonl import json_lines
 from termloom.sources.settings import latest_config
 
@@ -58,6 +64,12 @@ def _eval_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _index(spark: SparkSession, sf_dir: str, *draws: tuple[int, str]) -> rank_index.RankIndex:
+    """Index of the pairs' draws, as the job that writes the pairs leaves it beside them."""
+    folder = f"{shared_folder(spark)}/rank-{uuid.uuid4().hex}"
+    return rank_index.build_rank_index(_pairs(spark, sf_dir), "sample_id", folder, draws)
+
+
 def _chat_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns with the assistant turn right behind them."""
     turns = table(spark, sf_dir, "conversations")
@@ -276,13 +288,15 @@ def sample_ids(spark, sf_dir):
 
 @query
 def holdout_sample(spark, sf_dir):
-    return sampling.exact_fraction(_eval_rows(spark, sf_dir), "sample_id")
+    index = _index(spark, sf_dir, (sampling.SAMPLE_SEED, "holdout"))
+    return sampling.exact_fraction(_eval_rows(spark, sf_dir), "sample_id", index=index)
 
 
 @query
 def train_eval_split(spark, sf_dir):
     rows = _pairs(spark, sf_dir).select("sample_id")
-    return sampling.label_split(rows, "sample_id")
+    index = _index(spark, sf_dir, (sampling.SPLIT_SEED, "split"))
+    return sampling.label_split(rows, "sample_id", index=index)
 
 
 @query
@@ -298,9 +312,8 @@ def validation_sample(spark, sf_dir):
 
 @query
 def shuffled_rank(spark, sf_dir):
-    rows = sampling.with_draw(_pairs(spark, sf_dir), "sample_id", pairs.SEED, "shuffle")
-    ranked = ordering.row_index(rows.select("sample_id", "drawn"), "drawn", "position")
-    return ranked.select("sample_id", "position")
+    index = _index(spark, sf_dir, (sampling.SAMPLE_SEED, "shuffle"))
+    return index.position(index.keys, sampling.SAMPLE_SEED, "shuffle", "position")
 
 
 @query
@@ -323,9 +336,18 @@ def train_without_holdout(spark, sf_dir):
     return sampling.exclude_holdout(rows, held, "sample_id").select("sample_id", "question")
 
 
+@query
+def train_without_labelled(spark, sf_dir):
+    """A hold-out that comes from another table."""
+    rows = standin(spark, sf_dir, "predictions").select("sample_id", "question")
+    held = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("sample_id"))
+    return sampling.exclude_holdout(rows, held, "sample_id")
+
+
 @query
 def leakage_report(spark, sf_dir):
-    marked = sampling.mark_fraction(_eval_rows(spark, sf_dir), "sample_id")
+    index = _index(spark, sf_dir, (sampling.SAMPLE_SEED, "holdout"))
+    marked = sampling.mark_fraction(_eval_rows(spark, sf_dir), "sample_id", index=index)
     return sampling.leakage_within(marked, F.col("held"))
 
 
@@ -360,7 +382,7 @@ def top_scores(spark, sf_dir):
 @query
 def rank_scores(spark, sf_dir):
     rows = standin(spark, sf_dir, "predictions").select("sample_id", "score")
-    ranked = ordering.rank_by(rows, F.col("score").desc(), F.col("sample_id"))
+    ranked = ordering.rank_by(rows, "score", "sample_id", descending=True)
     return _rounded(ranked, "score")
 
 
@@ -501,6 +523,29 @@ def test1_report(spark, sf_dir):
 @query
 def validation_report(spark, sf_dir):
     report = recall.validation_report(recall.judged(standin(spark, sf_dir, "predictions")))
+    report = report.drop("num_scored", "num_unscored")
+    return _rounded(report, "bertscore_f1", "bertscore_std", "headword_recall")
+
+
+def _partly_scored(spark, sf_dir):
+    scored = F.when(F.col("sample_id") % 4 != 0, F.col("score"))
+    return recall.judged(standin(spark, sf_dir, "predictions").withColumn("score", scored))
+
+
+@query
+def unscored_recall_report(spark, sf_dir):
+    """A quarter of the answers has no semantic score: counted, and the gate fails."""
+    return _long(
+        recall.recall_report(_partly_scored(spark, sf_dir)),
+        ("bertscore_f1_mean", "bertscore.f1_mean", "passed.bertscore"),
+        ("num_scored", "num_scored", None),
+        ("num_unscored", "num_unscored", "overall_passed"),
+    )
+
+
+@query
+def unscored_validation_report(spark, sf_dir):
+    report = recall.validation_report(_partly_scored(spark, sf_dir))
     return _rounded(report, "bertscore_f1", "bertscore_std", "headword_recall")
 
 
@@ -580,6 +625,48 @@ def variant_comparison(spark, sf_dir):
     return _rounded(compared, "first_value", "second_value", "drop")
 
 
+def _compared(spark, sf_dir, second_score: Column) -> DataFrame:
+    """Reports of two variants over their halves of the answers, compared and flattened."""
+
+    def reports(rest: int, response: str, score: Column) -> tuple[DataFrame, DataFrame]:
+        rows = standin(spark, sf_dir, "predictions").filter(F.col("sample_id") % 2 == rest)
+        return (
+            recall.recall_report(recall.judged(rows.withColumn("score", score)), "run"),
+            choice.choice_report(_chosen(spark, sf_dir, response), None, "run"),
+        )
+
+    names = ("full", "quantised")
+    report = compare_reports(
+        reports(0, "response", F.col("score")), reports(1, "base_response", second_score), names
+    )
+    columns = [*names, "performance_drop"]
+    lines = [
+        F.struct(
+            F.lit(metric).alias("metric"),
+            *(F.round(f"{c}.{metric}", DIGITS).alias(c) for c in columns),
+            F.col(f"passed.{flag}").alias("passed"),
+        )
+        for metric, flag in compare.FLAGS.items()
+    ]
+    overall = F.struct(
+        F.lit("overall").alias("metric"),
+        *(F.lit(None).cast("double").alias(c) for c in columns),
+        F.col("overall_passed").alias("passed"),
+    )
+    return report.select(F.inline(F.array(*lines, overall)))
+
+
+@query
+def comparison_report(spark, sf_dir):
+    return _compared(spark, sf_dir, F.col("score") * 0.9)
+
+
+@query
+def comparison_report_unscored(spark, sf_dir):
+    """The second variant was never scored: its metric is missing and nothing passes over it."""
+    return _compared(spark, sf_dir, F.lit(None).cast("double"))
+
+
 @query
 def base_comparison(spark, sf_dir):
     rows = standin(spark, sf_dir, "variant_scores").select(
@@ -661,6 +748,25 @@ def token_overlap_f1(spark, sf_dir):
     return _rounded(scored, "precision", "recall", "f1")
 
 
+def _word_angles():
+    """An encoder: a word's length, modulo 8, picks one of eight directions in the plane."""
+    turns = [(math.cos(i * math.pi / 16), math.sin(i * math.pi / 16)) for i in range(8)]
+
+    def encode(texts):
+        return [np.array([turns[len(w) % 8] for w in t.split(" ") if w]).reshape(-1, 2) for t in texts]
+
+    return encode
+
+
+@query
+def semantic_scores(spark, sf_dir):
+    """Whole answers against whole truths, under an encoder that SQL can follow."""
+    rows = standin(spark, sf_dir, "predictions").select("sample_id", "prediction", "ground_truth")
+    tasks = spark.sparkContext.defaultParallelism
+    scored = semantic.semantic_scores(rows, _word_angles, tasks=tasks)
+    return _rounded(scored.drop("prediction", "ground_truth"), "precision", "recall", "score")
+
+
 @query
 def embedding_match_f1(spark, sf_dir):
     """Eight consecutive vectors stand for the tokens of a text; texts meet their successors."""

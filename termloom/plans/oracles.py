@@ -240,6 +240,31 @@ def leakage(held: str, kept: str) -> str:
     )
 
 
+def compared(second_score: str) -> str:
+    """Three metrics of two variants, then the verdict over all."""
+    f1 = (
+        "(select avg(score) from predictions where sample_id % 2 = 0)",
+        f"(select avg({second_score}) from predictions where sample_id % 2 = 1)",
+    )
+    named = "avg(case when headword is null or headword_hit then 1.0 else 0.0 end)"
+    heads = [f"(select {named} from judged where sample_id % 2 = {rest})" for rest in (0, 1)]
+    right = [f"(select avg(cast(correct as integer)) from {v})" for v in ("chosen", "base_chosen")]
+    rows = " union all ".join(
+        f"select '{metric}' as metric, {a} as f, {b} as q"
+        for metric, (a, b) in {
+            "test1_bertscore_f1": f1,
+            "test1_headword_recall": heads,
+            "test2_accuracy": right,
+        }.items()
+    )
+    passed = "coalesce(f - q <= 0.05, false)"
+    return (
+        f"select metric, round(f, 6) as \"full\", round(q, 6) as quantised, round(f - q, 6) as"
+        f" performance_drop, {passed} as passed from ({rows}) union all select 'overall', null,"
+        f" null, null, bool_and({passed}) from ({rows})"
+    )
+
+
 WITH = {name: standin_sql(name) for name in VIEWS}
 WITH |= {
     "vocab_rows": f"select distinct {COLS} from vocab",
@@ -302,6 +327,21 @@ WITH |= {
         " else 0 end) / nullif(cast(sum(there) as double), 0), 0) as r from counted group by"
         " sample_id"
     ),
+    "angles": (
+        "select sample_id, predicted, length(w) % 8 as a, count(*) as n from (select sample_id, true"
+        " as predicted, unnest(string_split(prediction, ' ')) as w from predictions union all select"
+        " sample_id, false, unnest(string_split(ground_truth, ' ')) from predictions) where w <> ''"
+        " group by all"
+    ),
+    "angle_shares": (
+        "select sample_id, predicted, sum(n * best) / sum(n) as share from (select x.sample_id,"
+        " x.predicted, x.a, any_value(x.n) as n, max(cos((x.a - y.a) * pi() / 16)) as best from"
+        " angles x join angles y on x.sample_id = y.sample_id and x.predicted <> y.predicted"
+        " group by x.sample_id, x.predicted, x.a) group by sample_id, predicted"
+    ),
+    "partly": (
+        "select * exclude (score), case when sample_id % 4 <> 0 then score end as score from judged"
+    ),
     "vectors": (
         "select cast(floor(vec_id / 16) as bigint) as text_pair, vec_id % 16 < 8 as predicted,"
         " vec_id, cast(embedding as double[]) as v from embeddings"
@@ -388,6 +428,9 @@ SQL: dict[str, str] = {
         f"select sample_id, question from pairs qualify {position(42, 'sample_id', 'shuffle')} <= 3"
     ),
     "train_without_holdout": "select sample_id, question from kept",
+    "train_without_labelled": (
+        "select sample_id, question from predictions where sample_id not in (select doc_id from labels)"
+    ),
     "leakage_report": leakage("held", "kept"),
     "leakage_between_tables": leakage(
         "(select * from predictions where sample_id not in (select doc_id from labels))",
@@ -495,6 +538,19 @@ SQL: dict[str, str] = {
         " round(coalesce(avg(case when headword is not null then cast(headword_hit as integer)"
         " end), 0), 6) as headword_recall, count(*) as num_samples from judged"
     ),
+    "unscored_recall_report": (
+        "select metric, round(value, 6) as value, passed from (select avg(score) as f1, count(score)"
+        " as s, count(*) - count(score) as u, avg(case when headword is null or headword_hit then"
+        " 1.0 else 0.0 end) as hw from partly), lateral (values ('bertscore_f1_mean', f1, f1 >= 0.7"
+        " and u = 0), ('num_scored', s, null), ('num_unscored', u, f1 >= 0.7 and u = 0 and hw >="
+        " 0.8)) t(metric, value, passed)"
+    ),
+    "unscored_validation_report": (
+        "select round(avg(score), 6) as bertscore_f1, round(stddev_pop(score), 6) as bertscore_std,"
+        " round(coalesce(avg(case when headword is not null then cast(headword_hit as integer)"
+        " end), 0), 6) as headword_recall, count(*) as num_samples, count(score) as num_scored,"
+        " count(*) - count(score) as num_unscored from partly"
+    ),
     "mcq_items": (
         "select sample_id, subject, answer, concat_ws(',', A, B, C, D) as choices from items"
     ),
@@ -538,6 +594,8 @@ SQL: dict[str, str] = {
         " variant = 'full') as f, avg(correct) filter (where variant = 'quantised') as q from"
         " variant_scores group by subject)"
     ),
+    "comparison_report": compared("score * cast(0.9 as double)"),
+    "comparison_report_unscored": compared("cast(null as double)"),
     "base_comparison": (
         "select round(f, 6) as base_accuracy, round(q, 6) as tuned_accuracy, round(f - q, 6) as"
         " performance_drop, f - q <= 0.1 as drop_acceptable, q >= 0.3 as min_accuracy_met,"
@@ -570,6 +628,12 @@ SQL: dict[str, str] = {
         " recall, round(case when p + r > 0 then 2 * p * r / (p + r) else 0 end, 6) as f1 from"
         " predictions s left join token_shares using (sample_id)"
     ),
+    "semantic_scores": (
+        "select sample_id, round(coalesce(p, 0), 6) as precision, round(coalesce(r, 0), 6) as recall,"
+        " round(coalesce(2 * p * r / (p + r), 0), 6) as score from predictions left join (select"
+        " sample_id, share as p from angle_shares where predicted) using (sample_id) left join"
+        " (select sample_id, share as r from angle_shares where not predicted) using (sample_id)"
+    ),
     "embedding_match_f1": (
         "select text_pair, round(coalesce(p, 0), 4) as precision, round(coalesce(r, 0), 4) as recall,"
         " round(coalesce(2 * p * r / (p + r), 0), 4) as f1 from (select distinct text_pair from"

@@ -66,6 +66,8 @@ RECALL_REPORT = T.StructType(
         T.StructField("run_name", T.StringType()),
         T.StructField("timestamp", T.StringType()),
         T.StructField("overall_passed", T.BooleanType()),
+        T.StructField("num_scored", T.LongType()),
+        T.StructField("num_unscored", T.LongType()),
     ]
 )
 
@@ -102,6 +104,30 @@ CHOICE_REPORT = T.StructType(
     ]
 )
 
+_VARIANT_METRICS = T.StructType(
+    [
+        T.StructField(name, T.DoubleType())
+        for name in ("test1_bertscore_f1", "test1_headword_recall", "test2_accuracy")
+    ]
+)
+
+
+def comparison_schema(first: str, second: str) -> T.StructType:
+    """Shape of a comparison report of two variants."""
+    flags = ("test1_bertscore", "test1_headword", "test2_accuracy")
+    return T.StructType(
+        [
+            T.StructField(first, _VARIANT_METRICS),
+            T.StructField(second, _VARIANT_METRICS),
+            T.StructField("performance_drop", _VARIANT_METRICS),
+            T.StructField("passed", T.StructType([T.StructField(f, T.BooleanType()) for f in flags])),
+            T.StructField("overall_passed", T.BooleanType()),
+            T.StructField("run_name", T.StringType()),
+            T.StructField("timestamp", T.StringType()),
+        ]
+    )
+
+
 SETTINGS = T.StructType(
     [
         T.StructField("run", T.StringType()),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def build_session(app_name: str = "termloom", **conf: str) -> SparkSession:
@@ -25,25 +25,20 @@ def build_session(app_name: str = "termloom", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def use_checkpoint_dir(spark: SparkSession) -> None:
-    """Point checkpoints at the folder the cluster names in ``spark.checkpoint.dir``.
+_scratch: list[str] = []
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``, for tables between two jobs.
 
     A scratch folder is made only for a ``local`` master; on a cluster a missing setting is an
     error, because a folder on one machine does not survive the loss of that machine.
     """
-    context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if context.getCheckpointDir() is not None:
-        return
     if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="termloom-checkpoint-"))
-    else:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: values that depend on row placement stay fixed afterwards."""
-    use_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if not _scratch:
+        _scratch.append(tempfile.mkdtemp(prefix="termloom-checkpoint-"))
+    return _scratch[0]

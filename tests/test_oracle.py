@@ -1,6 +1,7 @@
 """Every registered query against its SQL, over whole tables."""
 
 import os
+from pathlib import Path
 
 import pytest
 
@@ -16,7 +17,7 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(SQL))
 def test_query_equals_sql(spark, duck, name):
     df = queries()[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -24,6 +25,11 @@ def test_query_equals_sql(spark, duck, name):
     assert differences(df, duck, SQL[name]) == []
 
 
+def test_queries_without_sql_have_a_test_of_their_own():
+    tests = "".join(p.read_text() for p in Path(__file__).parent.glob("llm/test_*.py"))
+    assert [name for name in queries() if name not in SQL and name not in tests] == []
+
+
 def test_entry_has_rows(spark):
     rows = entry(spark)
     assert rows.columns == ["sample_id", "row_key", "type", "question", "response"]

@@ -144,7 +144,7 @@ def test_shuffle_rows_is_one_global_order(spark):
 def test_rank_by_with_hot_values(spark):
     rows = keys(spark, 600).withColumn("v", F.when(F.rand(3) < 0.5, 0.0).otherwise(F.rand(5)))
     rows = rows.cache()
-    ranked = ordering.rank_by(rows, F.col("v").desc(), F.col("key")).collect()
+    ranked = ordering.rank_by(rows, "v", "key", descending=True).collect()
     ranked.sort(key=lambda r: r.position)
     assert [r.position for r in ranked] == list(range(600))
     assert [(r.v, r.key) for r in ranked] == sorted(
