@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from termloom.functions.hashing import DRAW_DIGITS, slot
@@ -109,7 +110,7 @@ def _finite(number: Column) -> Column:
 def _spot(number: Column, low: Column, high: Column) -> Column:
     """Group of a number between two bounds; NULL, infinities and NaN stand beside the groups."""
     # Halves, as the distance of two doubles may be none.
-    share = (number / 2 - low / 2) / (high / 2 - low / 2) * GROUPS
+    share = F.try_divide(number / 2 - low / 2, high / 2 - low / 2) * GROUPS
     inside = F.least(F.greatest(F.floor(F.coalesce(share, F.lit(0.0))), F.lit(0)), F.lit(GROUPS - 1))
     return (
         F.when(number.isNull(), -2)
@@ -226,34 +227,36 @@ def row_bytes(df: DataFrame) -> Column:
 def range_count(df: DataFrame, drawn: str, size: Column, range_bytes: int) -> int:
     """The fewest halvings of the range of draws that leave at most ``range_bytes`` in each part.
 
-    Bytes are counted per leading digits: 65,536 counters at first, added up for every number of halvings. Only a
-    table that fills more parts than that is counted by more digits. A part with a single draw cannot be
-    cut, whatever its bytes. Runs one job, and one more for each of the rare further counts.
+    Bytes are counted per four leading digits: 65,536 counters at most, which the driver adds up for
+    every number of halvings. Only a table that fills more parts than that is counted by six digits, and added up by
+    Spark. A part with a single draw cannot be cut, whatever its bytes.
     """
-    wanted = 0
-    for digits in (STEP_DIGITS, STEP_DIGITS + 2):
-        head = F.conv(F.substring(drawn, 1, digits), 16, 10).cast("bigint")
-        counted = (
-            df.select(head.alias("head"), size.alias("size"))
+
+    def counted(digits: int) -> DataFrame:
+        head = F.conv(F.substring(drawn, 1, digits), 16, 10).cast("bigint").alias("head")
+        return (
+            df.select(head, size.alias("size"))
             .groupBy("head")
             .agg(F.sum("size").alias("size"), F.count("*").alias("rows"))
         )
-        halved = counted.withColumn("halvings", F.explode(F.sequence(F.lit(0), F.lit(4 * digits))))
-        part = F.expr(f"shiftright(head, {4 * digits} - halvings)").alias("part")
-        parts = halved.groupBy("halvings", part).agg(
-            F.sum("size").alias("size"), F.sum("rows").alias("rows")
-        )
-        fits = F.bool_and((F.col("size") <= range_bytes) | (F.col("rows") == 1))
-        whole = F.sum("size")
-        levels = parts.groupBy("halvings").agg(fits.alias("fits"), whole.alias("size"))
-        found = levels.agg(F.min(F.when(F.col("fits"), F.col("halvings"))), F.max("size")).first()
-        if found[1] is None:
-            return 1
-        if found[0] is not None:
-            return 1 << found[0]
-        wanted = max(0, -(-found[1] // range_bytes) - 1).bit_length()
+
+    sizes = np.zeros((16**STEP_DIGITS, 2), np.int64)
+    for head, held, rows in counted(STEP_DIGITS).collect():
+        sizes[head] = held, rows
+    for halvings in range(4 * STEP_DIGITS + 1):
+        parts = sizes.reshape(1 << halvings, -1, 2).sum(axis=1)
+        if ((parts[:, 0] <= range_bytes) | (parts[:, 1] <= 1)).all():
+            return 1 << halvings
+
+    digits = STEP_DIGITS + 2
+    deeper = F.sequence(F.lit(4 * STEP_DIGITS + 1), F.lit(4 * digits))
+    part = F.expr(f"shiftright(head, {4 * digits} - halvings)").alias("part")
+    parts = counted(digits).withColumn("halvings", F.explode(deeper)).groupBy("halvings", part)
+    fits = (F.sum("size") <= range_bytes) | (F.sum("rows") <= 1)
+    fitting = parts.agg(fits.alias("fits")).groupBy("halvings").agg(F.bool_and("fits").alias("fits"))
+    enough = fitting.agg(F.min(F.when(F.col("fits"), F.col("halvings")))).first()[0]
     # Rows of very uneven size: parts of that many bytes on average.
-    return 1 << wanted
+    return 1 << (enough or max(0, -(-int(sizes[:, 0].sum()) // range_bytes) - 1).bit_length())
 
 
 def shuffle_rows(

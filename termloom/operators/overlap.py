@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 def token_overlap_f1(df: DataFrame, key: str, prediction: str, reference: str) -> DataFrame:
     """Precision, recall and F1 per key: greedy matching over one-hot token vectors.
 
-    Tokens are counted per key and word, so a long text is spread over tasks and no pair of
-    tokens is ever formed. Splitting leaves an empty word in an empty text; it keeps the key and
-    is not counted.
+    Texts go to their key's partition before they are split: both groupings are then made where the
+    words are, and texts are shuffled once instead of words. No pair of tokens is ever formed, and
+    words spill like any grouping. Splitting leaves an empty word in an empty text; it keeps the
+    key and is not counted.
     """
 
     def words(side: str) -> Column:
@@ -20,7 +21,7 @@ def token_overlap_f1(df: DataFrame, key: str, prediction: str, reference: str) -
         F.struct(F.lit(True).alias("predicted"), words(prediction).alias("words")),
         F.struct(F.lit(False).alias("predicted"), words(reference).alias("words")),
     )
-    spoken = df.select(key, F.inline(sides)).select(
+    spoken = df.repartition(key).select(key, F.inline(sides)).select(
         key, "predicted", F.explode("words").alias("word")
     )
     is_word = F.col("word") != ""

@@ -58,16 +58,21 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_pairs(_vocab(spark, sf_dir).drop("doc_id"))
 
 
+def _as_eval(rows: DataFrame) -> DataFrame:
+    return rows.select("sample_id", "question", F.col("response").alias("ground_truth"))
+
+
 def _eval_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pairs(spark, sf_dir).select(
-        "sample_id", "question", F.col("response").alias("ground_truth")
-    )
+    return _as_eval(_pairs(spark, sf_dir))
 
 
-def _index(spark: SparkSession, sf_dir: str, *draws: tuple[int, str]) -> rank_index.RankIndex:
-    """Index of the pairs' draws, as the job that writes the pairs leaves it beside them."""
+def _indexed(
+    spark: SparkSession, sf_dir: str, *draws: tuple[int, str]
+) -> tuple[DataFrame, rank_index.RankIndex]:
+    """Pairs, and the index of their draws as the job that writes pairs leaves it beside them."""
+    rows = _pairs(spark, sf_dir)
     folder = f"{shared_folder(spark)}/rank-{uuid.uuid4().hex}"
-    return rank_index.build_rank_index(_pairs(spark, sf_dir), "sample_id", folder, draws)
+    return rows, rank_index.build_rank_index(rows, "sample_id", folder, draws)
 
 
 def _chat_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,15 +293,14 @@ def sample_ids(spark, sf_dir):
 
 @query
 def holdout_sample(spark, sf_dir):
-    index = _index(spark, sf_dir, (sampling.SAMPLE_SEED, "holdout"))
-    return sampling.exact_fraction(_eval_rows(spark, sf_dir), "sample_id", index=index)
+    rows, index = _indexed(spark, sf_dir, (sampling.SAMPLE_SEED, "holdout"))
+    return sampling.exact_fraction(_as_eval(rows), "sample_id", index=index)
 
 
 @query
 def train_eval_split(spark, sf_dir):
-    rows = _pairs(spark, sf_dir).select("sample_id")
-    index = _index(spark, sf_dir, (sampling.SPLIT_SEED, "split"))
-    return sampling.label_split(rows, "sample_id", index=index)
+    _, index = _indexed(spark, sf_dir, (sampling.SPLIT_SEED, "split"))
+    return sampling.label_split(index.keys, "sample_id", index=index)
 
 
 @query
@@ -312,7 +316,7 @@ def validation_sample(spark, sf_dir):
 
 @query
 def shuffled_rank(spark, sf_dir):
-    index = _index(spark, sf_dir, (sampling.SAMPLE_SEED, "shuffle"))
+    _, index = _indexed(spark, sf_dir, (sampling.SAMPLE_SEED, "shuffle"))
     return index.position(index.keys, sampling.SAMPLE_SEED, "shuffle", "position")
 
 
@@ -346,8 +350,8 @@ def train_without_labelled(spark, sf_dir):
 
 @query
 def leakage_report(spark, sf_dir):
-    index = _index(spark, sf_dir, (sampling.SAMPLE_SEED, "holdout"))
-    marked = sampling.mark_fraction(_eval_rows(spark, sf_dir), "sample_id", index=index)
+    rows, index = _indexed(spark, sf_dir, (sampling.SAMPLE_SEED, "holdout"))
+    marked = sampling.mark_fraction(_as_eval(rows), "sample_id", index=index)
     return sampling.leakage_within(marked, F.col("held"))
 
 

@@ -1,6 +1,7 @@
 """Exact cuts, positions and samples against brute force."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -176,3 +177,84 @@ def test_leakage_counts_every_level(spark):
     assert {(r.level, r.evaluated, r.leaked) for r in nothing} == {
         (level, 0, 0) for level in report
     }
+
+
+@pytest.mark.parametrize("range_bytes", [1 << 20, 20_000, 4_000])
+def test_ranges_hold_at_most_the_bytes_asked_for(spark, range_bytes):
+    rows = sampling.with_draw(keys(spark, 800), "key", 42, "shuffle").withColumn("text", F.repeat(F.lit("x"), 90))
+    moved = ordering.shuffle_rows(rows, "drawn", range_bytes=range_bytes, size=F.octet_length("text"))
+    held = moved.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).collect()
+    assert all(r.b <= range_bytes or r.n == 1 for r in held) and sum(r.n for r in held) == 800
+    order = [r.drawn for r in moved.collect()]
+    assert order == sorted(order)
+    # The next smaller number of ranges would not do.
+    n = moved.rdd.getNumPartitions()
+    assert n == 1 or max(r.b for r in ordering.shuffle_rows(rows, "drawn", n // 2).groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length("text")).alias("b")).collect()) > range_bytes
+
+
+def test_ranges_of_tables_beyond_the_first_counters(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "STEP_DIGITS", 1)
+    rows = sampling.with_draw(keys(spark, 400), "key", 42, "shuffle")
+    assert 64 <= ordering.range_count(rows, "drawn", F.lit(10), 60) <= 512
+    assert ordering.range_count(rows.limit(0), "drawn", F.lit(10), 60) == 1
+    assert ordering.range_count(rows.limit(1), "drawn", F.lit(10), 1) == 1
+
+
+def ranked_by(spark, rows, descending, group_rows):
+    df = spark.createDataFrame(rows, "v double, key string, position string").repartition(5)
+    found = ordering.rank_by(df, "v", "key", descending, "at", group_rows)
+    assert found.columns == ["v", "key", "position", "at"]
+    return sorted((r["at"], r.v, r.key) for r in found.collect())
+
+
+@pytest.mark.parametrize("descending", [True, False])
+@pytest.mark.parametrize("group_rows", [1_000_000, 40, 1])
+def test_rank_by_of_odd_values(spark, descending, group_rows):
+    rng = random.Random(7)
+    odd = [float("inf"), float("-inf"), float("nan"), None, 0.0, -0.0, 5e-324, 1.7e308, -1.7e308]
+    values = [rng.choice(odd) if i % 5 == 0 else 0.25 if i % 3 else rng.uniform(-1, 1) for i in range(500)]
+    rows = [(v, f"k{i:04d}", None) for i, v in enumerate(values)]
+    got = ranked_by(spark, rows, descending, group_rows)
+    assert [at for at, _, _ in got] == list(range(500))
+    df = spark.createDataFrame(rows, "v double, key string, position string")
+    order = F.col("v").desc() if descending else F.col("v").asc()
+    assert [k for _, _, k in got] == [r.key for r in df.orderBy(order, "key").collect()]
+
+
+def test_rank_by_of_nothing_and_of_one_value(spark):
+    assert ranked_by(spark, [], True, 10) == []
+    assert [k for _, _, k in ranked_by(spark, [(1.0, f"k{i:03d}", "") for i in range(99)], True, 10)] == [f"k{i:03d}" for i in range(99)]
+
+
+def test_one_value_in_a_third_of_the_rows_is_spread(spark):
+    rows = spark.range(30_000).select(F.col("id").alias("key"), F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.col("id") / 30_000).alias("v"))
+    cut, leaves = ordering.grouped_for_rank(rows, "v", "key", True, 100)
+    sizes = cut.groupBy("_g1", "_g2", "_g3").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 100 and leaves.count() == sizes.count()
+    plan = ordering.rank_by(rows, "v", "key", True, group_rows=100)._jdf.queryExecution().executedPlan().toString()
+    assert "RDD" not in plan and "Exchange SinglePartition" not in plan.split("WindowGroup")[0].split("hashpartitioning(_g1")[0]
+
+
+def test_index_gives_the_same_cuts_and_positions(spark, tmp_path):
+    from termloom.operators import rank_index
+
+    rows = keys(spark, 5_000)
+    index = rank_index.build_rank_index(rows, "key", str(tmp_path / "i"), sampling.DRAWS)
+    for ratio in (0.05, 0.5, 1.0):
+        a = sampling.exact_fraction(rows, "key", ratio, index=index)
+        b = sampling.exact_fraction(rows, "key", ratio)
+        assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0
+    split = sampling.label_split(rows, "key", index=index)
+    assert split.exceptAll(sampling.label_split(rows, "key")).count() == 0
+    assert sampling.cap_rows(rows, "key", 77, index=index).exceptAll(sampling.cap_rows(rows, "key", 77)).count() == 0
+    assert sampling.cap_rows(rows, "key", 9_999, index=index).count() == 5_000
+    drawn_rows = sampling.with_draw(rows, "key", 42, "shuffle")
+    expected = ordering.row_index(drawn_rows, "drawn").select("key", "row_index")
+    assert index.position(rows, 42, "shuffle").exceptAll(expected).count() == 0
+    cut = sampling.exact_fraction(rows, "key", index=index)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in cut
+    empty = rank_index.build_rank_index(rows.limit(0), "key", str(tmp_path / "e"), sampling.DRAWS)
+    assert sampling.exact_fraction(rows.limit(0), "key", index=empty).count() == 0
+    twice = rank_index.build_rank_index(rows.limit(3).unionAll(rows.limit(3)), "key", str(tmp_path / "t"), sampling.DRAWS)
+    with pytest.raises(Exception, match="must not repeat"):
+        sampling.cap_rows(rows, "key", 1, index=twice).collect()
