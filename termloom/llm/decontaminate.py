@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from termloom.llm.storage import keyed, stored
 
-#: A shared word list is broadcast up to this many rows and joined by shuffle beyond.
+#: Tables of one number a row (shingles, documents) are broadcast up to this many rows, and joined by shuffle beyond.
 BROADCAST_ROWS = 200_000
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -94,7 +94,10 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = 10, gram: int = 3
     candidates = candidates.filter("start >= 1 and start + length - 1 <= n_words")
     candidates = stored(candidates.select("doc_id", "n_words", "start", "length", "item_id", "w"))
 
-    wanted = candidates.select("doc_id").distinct()
+    # One number a document, counted first: while it is small, texts are read again but not shuffled.
+    wanted = stored(candidates.select("doc_id").distinct())
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
     held = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").select("doc_id", words_of(F.col("text")).alias("words"))
     by_doc = candidates.groupBy("doc_id", "n_words").agg(F.collect_list(F.struct("start", "length", "item_id", "w")).alias("c"))
     checked = by_doc.join(held, "doc_id").select(
