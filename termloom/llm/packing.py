@@ -20,16 +20,19 @@ from pyspark.sql import functions as F
 from termloom.llm.storage import stored, worker_state
 
 #: Words, and parts of words, whose ids a worker keeps; beyond it starts anew.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 500_000
 KNOWN_PARTS = 500_000
-_BLANK = re.compile("[ \n\t\r]+")
 
 # The settings of a tokenizer that lower-cases and cuts words by this pattern, and what the
 # pattern means for printable ASCII.
 LOWER_CASED = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 PARTS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-ASCII_PARTS = "'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+"
+SIMPLE_PARTS = "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ \n\t\r]+"
+# Characters for which these steps come to str.lower() and SIMPLE_PARTS: printable ASCII and the letters of Latin-1.
+SIMPLE = re.compile("[ -~\n\t\rÀ-ÖØ-öø-ÿ]*")
 
+#: Characters of a text that are cut into parts at a time.
+PIECE = 1 << 20
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -79,9 +82,9 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 class Ids(dict):
     """Token ids of words as bytes (unsigned, little-endian, 32 bits).
 
-    If the tokenizer has the settings above, words are cut into parts (those of printable ASCII here,
-    others by its own steps), and its model is asked once for each part. Words that hold a special
-    token, and all words of other tokenizers, go through the whole tokenizer.
+    If the tokenizer has the settings above, words are cut into parts (those of simple characters here, others by
+    its own steps), and its model is asked once for each part. Words that hold a special token, and all
+    words of other tokenizers, go through the whole tokenizer.
     """
 
     def __init__(self, file: str):
@@ -89,8 +92,6 @@ class Ids(dict):
 
         super().__init__()
         self.coder = Tokenizer.from_file(file)
-        self.model = self.coder.model
-        self.parts: dict[str, bytes] = {}
         settings = json.loads(self.coder.to_str())
         cut = settings["pre_tokenizer"] or {}
         split = {"type": "Split", "pattern": {"Regex": PARTS}, "behavior": "Removed", "invert": True}
@@ -98,32 +99,54 @@ class Ids(dict):
         self.plain = (settings["normalizer"] or {}).get("normalizers") == LOWER_CASED and cut.get("pretokenizers") == [split, level]
         special = [re.escape(t["content"]) for t in settings["added_tokens"]]
         self.special = re.compile("|".join(special) or "(?!)")
-        self.cut = re.compile(ASCII_PARTS).findall
-
-    def add(self, words: list[str]) -> None:
+        self.cut = re.compile(SIMPLE_PARTS).findall
+        self.parts = Parts(self.coder)
+
+    def of(self, text: str) -> bytes:
+        """Ids of a whole text; a long one is taken piece by piece, cut at blanks."""
+        out, at = [], 0
+        while at < len(text):
+            end = text.find(" ", at + PIECE) if len(text) - at > PIECE else -1
+            piece = text[at:] if end < 0 else text[at:end]
+            at += len(piece)
+            # Runs of blanks leave empty words, which have no ids.
+            words = piece.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            out.append(b"".join(map(self.__getitem__, words)))
+        return b"".join(out)
+
+    def __missing__(self, word: str) -> bytes:
+        if not self.plain or ("<" in word and self.special.search(word)):
+            ids = self.coder.encode(word, add_special_tokens=False).ids
+            self[word] = struct.pack(f"<{len(ids)}I", *ids)
+        elif SIMPLE.fullmatch(word):
+            self[word] = b"".join(map(self.parts.__getitem__, self.cut(word.lower())))
+        else:
+            cut = self.coder.pre_tokenizer.pre_tokenize_str(self.coder.normalizer.normalize_str(word))
+            self[word] = b"".join(self.parts.coded(part) for part, _ in cut)
+        return self[word]
+
+    def bound(self) -> None:
+        if len(self) > KNOWN_WORDS:
+            self.clear()
         if len(self.parts) > KNOWN_PARTS:
             self.parts.clear()
-        parts, others = self.parts, []
-        normal, own_cut = self.coder.normalizer, self.coder.pre_tokenizer
-        for word in words:
-            if not self.plain or ("<" in word and self.special.search(word)):
-                others.append(word)
-                continue
-            if word.isascii() and word.isprintable():
-                cut = self.cut(word.lower())
-            else:
-                cut = [part for part, _ in own_cut.pre_tokenize_str(normal.normalize_str(word))]
-            found = []
-            for part in cut:
-                if part not in parts:
-                    ids = [t.id for t in self.model.tokenize(part)]
-                    parts[part] = struct.pack(f"<{len(ids)}I", *ids)
-                found.append(parts[part])
-            self[word] = b"".join(found)
-        for i in range(0, len(others), 4096):
-            some = others[i : i + 4096]
-            for word, e in zip(some, self.coder.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self[word] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+
+
+class Parts(dict):
+    """Ids of parts of simple characters, in small letters."""
+
+    def __init__(self, coder):
+        super().__init__()
+        self.cut, self.tokenize = coder.pre_tokenizer.pre_tokenize_str, coder.model.tokenize
+
+    def coded(self, part: str) -> bytes:
+        """Ids of a part in the tokenizer's own alphabet of bytes."""
+        ids = [t.id for t in self.tokenize(part)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, part: str) -> bytes:
+        self[part] = self.coded(part) if part.isascii() else b"".join(self.coded(p) for p, _ in self.cut(part))
+        return self[part]
 
 
 def _pieces(tokenizer: str, capacity: int):
@@ -139,14 +162,9 @@ def _pieces(tokenizer: str, capacity: int):
             out = []
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [_BLANK.split(t) if t else [] for t in part.column(1).to_pylist()]
-                new = set().union(*texts).difference(known)
-                if known and len(known) + len(new) > KNOWN_WORDS:
-                    known.clear()
-                    new = set().union(*texts)
-                known.add(list(new))
-                for doc_id, words in zip(part.column(0).to_pylist(), texts, strict=True):
-                    ids = b"".join(map(known.__getitem__, words)) + bytes(4)
+                known.bound()
+                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    ids = known.of(text or "") + bytes(4)
                     for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                         cut = ids[start : start + 4 * capacity]
                         out.append((doc_id, piece, start // 4, len(cut) // 4, zlib.crc32(cut)))
