@@ -23,6 +23,7 @@ from termloom.operators import (
     ordering,
     overlap,
     pairs,
+    position,
     profile,
     rank_index,
     recall,
@@ -32,8 +33,13 @@ from termloom.operators import (
 from termloom.plans.standins import standin, table
 from termloom.plans.training import compare_reports, training_pairs
 from termloom.session import shared_folder
-from termloom.sources.jsonl import json_lines
+from termloom.schemas import RECALL_REPORT
+from termloom.sources import runs
+from termloom.sources.jsonl import json_lines, read_chat_jsonl, read_eval_samples, write_jsonl
+from termloom.sources.reports import write_by_run
 from termloom.sources.settings import latest_config
+from termloom.sources.subjects import load_choice_items
+from termloom.sources.vocab_csv import read_vocab_csv, write_vocab_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,10 +77,14 @@ def _indexed(
 ) -> tuple[DataFrame, rank_index.RankIndex]:
     """Pairs, and the index of their draws as the job that writes pairs leaves it beside them."""
     rows = _pairs(spark, sf_dir)
-    folder = f"{shared_folder(spark)}/rank-{uuid.uuid4().hex}"
+    folder = _new_folder(spark, "rank")
     return rows, rank_index.build_rank_index(rows, "sample_id", folder, draws)
 
 
+def _new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def _chat_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns with the assistant turn right behind them."""
     turns = table(spark, sf_dir, "conversations")
@@ -799,3 +809,146 @@ def embedding_match_f1(spark, sf_dir):
 def latest_settings(spark, sf_dir):
     log = standin(spark, sf_dir, "settings_log")
     return latest_config(log, F.struct("ts", "event_id"))
+
+
+# --- stored and read back -----------------------------------------------------------------------
+
+
+@query
+def paired_by_position(spark, sf_dir):
+    """Two tables in files of their own cut, paired by place; the truths are fewer and end the pairing."""
+    rows = standin(spark, sf_dir, "predictions")
+
+    def stored(df: DataFrame, files: int) -> DataFrame:
+        folder = _new_folder(spark, "lists")
+        df.repartitionByRange(files, F.col(df.columns[0])).sortWithinPartitions(df.columns[0]).write.parquet(folder)
+        return spark.read.parquet(folder)
+
+    predictions = stored(rows.select(F.col("sample_id").alias("prediction_id"), "prediction"), 5)
+    truths = stored(
+        rows.filter("sample_id % 10 <> 9").select(F.col("sample_id").alias("truth_id"), "ground_truth"), 3
+    )
+    return position.align_by_position(predictions, truths)
+
+
+@query
+def vocab_file_round_trip(spark, sf_dir):
+    """A vocabulary written as CSV and read with the rule for missing values."""
+    folder = _new_folder(spark, "csv")
+    write_vocab_csv(_vocab(spark, sf_dir).drop("doc_id"), folder)
+    return read_vocab_csv(spark, folder)
+
+
+@query
+def chat_file_round_trip(spark, sf_dir):
+    folder = _new_folder(spark, "chats")
+    rows = _chat_pairs(spark, sf_dir)
+    messages = chat.to_messages(F.col("question"), F.col("ground_truth")).alias("messages")
+    write_jsonl(rows.select(messages), folder)
+    return read_chat_jsonl(spark, folder).select(*chat.messages_to_eval(F.col("messages")))
+
+
+@query
+def eval_samples(spark, sf_dir):
+    """An evaluation file read with the ids of its rows."""
+    folder = _new_folder(spark, "eval")
+    write_jsonl(standin(spark, sf_dir, "predictions").select("question", F.left("ground_truth", F.lit(40)).alias("ground_truth")), folder)
+    return read_eval_samples(spark, folder)
+
+
+@query
+def report_round_trip(spark, sf_dir):
+    """A committed report read back, after a later attempt of another run."""
+    folder = _new_folder(spark, "runs")
+    report = recall.recall_report(_judged(spark, sf_dir), "run", "now")
+    for run in ("run", "other"):
+        runs.write_run(folder, run, {"report": report}, "now", reports=("report",))
+    return _long(
+        runs.read_run(spark, folder, "run", "report", RECALL_REPORT),
+        ("bertscore_f1_mean", "bertscore.f1_mean", "passed.bertscore"),
+        ("headword_recall", "headword_recall.accuracy", "passed.headword"),
+        ("num_samples", "num_samples", "overall_passed"),
+    )
+
+
+@query
+def details_by_run(spark, sf_dir):
+    """Rows of two runs side by side, read by run."""
+    folder = _new_folder(spark, "details")
+    rows = _judged(spark, sf_dir).select("sample_id", "headword", "headword_hit")
+    write_by_run(rows, folder, "first")
+    write_by_run(rows.filter("headword_hit"), folder, "second")
+    return spark.read.parquet(folder).filter("run_name = 'second'")
+
+
+def _subject_folder(spark, sf_dir) -> str:
+    folder = _new_folder(spark, "subjects")
+    items = standin(spark, sf_dir, "choice_source").select("subject", "question", "A", "B", "C", "D", "answer")
+    items.write.partitionBy("subject").parquet(folder)
+    return folder
+
+
+SUBJECTS = ("de", "en", "xx")
+
+
+@query
+def subject_items(spark, sf_dir):
+    """All items of two subjects of a stored benchmark; a third one has no folder."""
+    found = load_choice_items(spark, _subject_folder(spark, sf_dir), SUBJECTS, per_subject=1 << 40)
+    return found.items.select("subject", "question", "answer", F.array_join("choices", LISTED).alias("choices"))
+
+
+@query
+def subject_warnings(spark, sf_dir):
+    found = load_choice_items(spark, _subject_folder(spark, sf_dir), SUBJECTS)
+    rejected = load_choice_items(spark, _subject_folder(spark, sf_dir), SUBJECTS, per_subject=1 << 40).rejected
+    return found.warnings.unionAll(
+        rejected.select("subject", F.concat(F.col("rejected").cast("string"), F.lit(" rejected")).alias("reason"))
+    )
+
+
+# --- batches by length --------------------------------------------------------------------------
+
+
+def _length_batches(spark, sf_dir):
+    rows = _chat_pairs(spark, sf_dir).select(
+        "conv_id",
+        "turn",
+        "question",
+        F.transform(F.split("question", " "), lambda word: F.length(word)).alias("ids"),
+    )
+    key = F.concat_ws("-", "conv_id", "turn")
+    rows = rows.withColumn("drawn", draw(pairs.SEED, key, F.lit("batch"))).withColumn("length", F.size("ids"))
+    return inference.assign_batches_by_length(rows, "length", "drawn", inference.RECALL_BATCH)
+
+
+@query
+def length_batches(spark, sf_dir):
+    padded = inference.pad_batches(_length_batches(spark, sf_dir))
+    return padded.select("conv_id", "turn", "length", "batch", "padded_length")
+
+
+@query
+def padding_shares(spark, sf_dir):
+    """Padding of batches in the order of the draws, and in that of the lengths."""
+    drawn = inference.padding_share(_prompt_batches(spark, sf_dir)).withColumn("batches", F.lit("by draw"))
+    sorted_ = inference.padding_share(_length_batches(spark, sf_dir)).withColumn("batches", F.lit("by length"))
+    return _rounded(drawn.unionAll(sorted_), "padding")
+
+
+def _size_telling_model():
+    """Answers every prompt with its length and that of the batch it came in."""
+    return lambda prompts, max_new_tokens: [
+        f" {len(p)} of {sum(map(len, prompts))}, at most {max_new_tokens}" for p in prompts
+    ]
+
+
+@query
+def planned_predictions(spark, sf_dir):
+    """The model gets exactly the batches planned by length."""
+    rows = _length_batches(spark, sf_dir).select("conv_id", "turn", "batch", F.col("question").alias("prompt"))
+    settings = inference.RECALL
+    found = inference.predict_planned(
+        rows, _size_telling_model, max_new_tokens=settings.max_new_tokens, tasks=spark.sparkContext.defaultParallelism
+    )
+    return found.drop("prompt")

@@ -311,6 +311,12 @@ WITH |= {
         "select *, cast(max(len(ids)) over (partition by batch) as integer) as padded_length from"
         " prompt_ids"
     ),
+    "length_ids": (
+        "select conv_id, turn, question, cast(len(ids) as integer) as length, cast(floor((row_number()"
+        f" over (order by len(ids), {drawn(42, quoted('') + ' || conv_id || ' + quoted('-') + ' || turn', quoted('batch'))})"
+        " - 1) / 16) as bigint) as batch from (select *, string_split(question, ' ') as ids from"
+        " chat_pairs)"
+    ),
     "spoken": (
         "select sample_id, true as predicted, unnest(list_filter(string_split_regex(prediction,"
         r" '\s+'), lambda w: w <> '')) as word from predictions union all select sample_id, false,"
@@ -642,6 +648,60 @@ SQL: dict[str, str] = {
         " text_pair, avg(c) as r from (select text_pair, max(c) as c from cosines group by text_pair,"
         " j) group by text_pair) using (text_pair)"
     ),
+    "paired_by_position": (
+        "select * from (select row_number() over (order by sample_id) - 1 as position, sample_id as"
+        " prediction_id, prediction from predictions) join (select row_number() over (order by"
+        " sample_id) - 1 as position, sample_id as truth_id, ground_truth from predictions where"
+        " sample_id % 10 <> 9) using (position)"
+    ),
+    "vocab_file_round_trip": (
+        "select "
+        + ", ".join(
+            f"case when {c} not in ({', '.join(quoted(t) for t in ['', *NA_TOKENS])}) then {c} end as {c}"
+            for c in VOCAB_COLUMNS
+        )
+        + " from vocab"
+    ),
+    "chat_file_round_trip": "select question, ground_truth from chat_pairs",
+    "eval_samples": (
+        f"select question, ground_truth, {digest(['question', 'ground_truth'])} || '-' ||"
+        " (row_number() over (partition by question, ground_truth) - 1) as sample_id from (select"
+        " question, left(ground_truth, 40) as ground_truth from predictions)"
+    ),
+    "report_round_trip": (
+        "select metric, round(value, 6) as value, passed from (select avg(score) as f1, avg(case when"
+        " headword is null or headword_hit then 1.0 else 0.0 end) as hw, count(*) as n from judged),"
+        " lateral (values ('bertscore_f1_mean', f1, f1 >= 0.7), ('headword_recall', hw, hw >= 0.8),"
+        " ('num_samples', n, f1 >= 0.7 and hw >= 0.8)) t(metric, value, passed)"
+    ),
+    "details_by_run": (
+        "select sample_id, headword, headword_hit, 'second' as run_name from judged where headword_hit"
+    ),
+    "subject_items": (
+        "select subject, question, answer, concat_ws(',', A, B, C, D) as choices from items where"
+        " subject in ('de', 'en') and answer is not null"
+    ),
+    "subject_warnings": (
+        "select 'xx' as subject, 'no folder' as reason union all select subject, count(*) || ' rejected'"
+        " from items where answer is null and subject in ('de', 'en') group by subject"
+    ),
+    "length_batches": (
+        "select conv_id, turn, length, batch, max(length) over (partition by batch) as padded_length"
+        " from length_ids"
+    ),
+    "padding_shares": " union all ".join(
+        f"select '{name}' as batches, cast(sum(t) as bigint) as tokens, cast(sum(p) as bigint) as places,"
+        " round((sum(p) - sum(t)) / cast(sum(p) as double), 6) as padding from (select"
+        f" sum({size}) as t, max({size}) * count(*) as p from {view} group by batch)"
+        for name, view, size in (
+            ("by draw", "prompt_ids", "len(ids)"),
+            ("by length", "length_ids", "length"),
+        )
+    ),
+    "planned_predictions": (
+        "select conv_id, turn, batch, length(question) || ' of ' || cast(sum(length(question)) over"
+        " (partition by batch) as bigint) || ', at most 256' as prediction from length_ids"
+    ),
     "latest_settings": (
         'select run, "key", arg_max("value", (ts, event_id)) as "value" from settings_log group by'
         ' run, "key"'

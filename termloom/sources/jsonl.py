@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from termloom.operators.sampling import with_sample_id
 from termloom.schemas import CHAT, EVAL
 
 
@@ -21,6 +22,11 @@ def read_eval_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return _strict(spark, path, EVAL)
 
 
+def read_eval_samples(spark: SparkSession, path: str) -> DataFrame:
+    """Evaluation rows with a unique ``sample_id``: the digest of the row and its number among equal rows."""
+    return with_sample_id(read_eval_jsonl(spark, path))
+
+
 def json_lines(df: DataFrame, keep_nulls: bool = True) -> DataFrame:
     """Each row as one JSON text in column ``value``, non-ASCII and column order kept."""
     options = {"ignoreNullFields": str(not keep_nulls).lower()}
