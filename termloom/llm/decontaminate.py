@@ -14,7 +14,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.storage import keyed, stored
+from termloom.llm.storage import fresh, keyed, stored
 
 #: Tables of one number a row (shingles, documents) are broadcast up to this many rows, and joined by shuffle beyond.
 BROADCAST_ROWS = 200_000
@@ -131,6 +131,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, gram: int
 
 def without_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, gram: int = 3) -> DataFrame:
     """The documents that hold no window of any item; doc_id may repeat or be NULL."""
-    rows = keyed(docs)
-    hit = find_hits(rows.select(F.col("row_").alias("doc_id"), "text"), items, window, gram).select(F.col("doc_id").alias("row_")).distinct()
-    return rows.join(hit, "row_", "left_anti").select(*docs.columns)
+    (key,) = fresh(docs.columns, "row_")
+    rows = keyed(docs, key)
+    hit = find_hits(rows.select(F.col(key).alias("doc_id"), "text"), items, window, gram).select(F.col("doc_id").alias(key)).distinct()
+    return rows.join(hit, key, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm.components import components
-from termloom.llm.storage import spread, stored
+from termloom.llm.storage import sampled, spread, stored
 
 #: Vectors from which the splits are taken (collected, so bounded).
 SAMPLE = 20_000
@@ -127,7 +127,7 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.93, trees: int = TREES
     most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 1
     depth = max(0, math.ceil(math.log2(most / leaf)))
     share = SAMPLE / max(1, classes.count())
-    sample = classes.filter(F.pmod(F.xxhash64("rep", F.lit(SEED)), F.lit(1_000_000)) < int(1_000_000 * share)).limit(SAMPLE).select("embedding")
+    sample = classes.filter(sampled(share, SEED, "rep")).select("embedding")  # about SAMPLE rows
     widths: dict[int, list] = {}
     for row in sample.collect():
         widths.setdefault(len(row.embedding), []).append(row.embedding)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from termloom.llm.bytesops import mix, shingle_hashes, space_words, text_slices
 from termloom.llm.components import components
-from termloom.llm.storage import keyed, spread, stored
+from termloom.llm.storage import fresh, keyed, stored
 
 #: Members of one key within one task beyond which they skip the exchange by key.
 LOCAL_HOT = 16
@@ -326,8 +326,9 @@ def keep_one(docs: DataFrame, size: int = 5, threshold_pct: int = 75) -> DataFra
     It is the one of the smallest doc_id, a missing one last; of rows that share it, one. Texts without a
     shingle stay.
     """
-    rows = keyed(docs)
-    of_row = stored(groups(rows, size, threshold_pct).select("row_", "doc_id", "group"))
+    (key,) = fresh(docs.columns, "row_")
+    rows = keyed(docs, key)
+    of_row = stored(groups(rows.select(F.col(key).alias("row_"), "doc_id", "text"), size, threshold_pct).select("row_", "doc_id", "group"))
     first = of_row.filter("group is not null").groupBy("group").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "row_")).alias("one"))
-    kept = first.select("one.row_").union(of_row.filter("group is null").select("row_"))
-    return rows.join(kept, "row_", "left_semi").select(*docs.columns)
+    kept = first.select("one.row_").union(of_row.filter("group is null").select("row_")).withColumnRenamed("row_", key)
+    return rows.join(kept, key, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))

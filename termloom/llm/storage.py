@@ -7,7 +7,7 @@ import tempfile
 import types
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,9 +31,25 @@ def stored(df: DataFrame, *by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def keyed(df: DataFrame) -> DataFrame:
-    """df with `row_`, a key of each row that is stored, so that ids may repeat or be NULL."""
-    return stored(df.withColumn("row_", F.monotonically_increasing_id()))
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """Names that are none of the columns."""
+    out = []
+    for name in names:
+        while name in columns:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def keyed(df: DataFrame, name: str = "row_") -> DataFrame:
+    """df with a key of each row that is stored, so that ids may repeat or be NULL; no column may have its name."""
+    return stored(df.withColumn(name, F.monotonically_increasing_id()))
+
+
+def sampled(share: float, seed: int, *keys: str) -> Column:
+    """Whether a row is among a share of all, by a hash of its keys; shares of any size hold, above 1 all rows."""
+    drawn = F.shiftrightunsigned(F.xxhash64(*keys, F.lit(seed)), 1).cast("double")
+    return drawn < F.lit(min(share, 2.0) * 2.0**63)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.storage import stored
+from termloom.llm.storage import fresh, stored
 
 ROUNDS = 6
 #: Tries for a surrogate that is free; in the first half none may be an entity of the corpus.
@@ -188,16 +188,6 @@ def surrogate_map(entities: DataFrame, secret: str) -> DataFrame:
     return given
 
 
-def fresh(columns: list[str], *names: str) -> list[str]:
-    """Names that are none of the columns."""
-    out = []
-    for name in names:
-        while name in columns:
-            name += "_"
-        out.append(name)
-    return out
-
-
 def mentions(names: Column) -> Column:
     """The pattern of all entities, and of these full names and their surnames without a title, longer ones first."""
     every = F.array_distinct(F.concat(names, F.transform(names, lambda n: F.substring_index(n, " ", -1))))

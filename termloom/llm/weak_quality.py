@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termloom.llm.storage import worker_state
+from termloom.llm.storage import fresh, sampled, worker_state
 
 #: Documents on which the linear scorer is trained, and labelled ones from which insults are learned.
 FIT_ROWS = 8_000
@@ -166,7 +166,7 @@ def learn_insults(docs: DataFrame, labels: DataFrame) -> frozenset[str]:
     """Words of toxic labelled documents that hardly stand in others, from at most LABELLED_ROWS labels."""
     marked = labels.select("doc_id", "toxic").filter("doc_id is not null and toxic is not null")
     share = LABELLED_ROWS / max(1, marked.count())
-    marked = marked.filter(F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1_000_000)) < int(1_000_000 * share))
+    marked = marked.filter(sampled(share, 6, "doc_id"))
     kinds = {r.toxic: r["count"] for r in marked.groupBy("toxic").count().collect()}
     toxic, other = kinds.get(1, 0), max(1, kinds.get(0, 0))
     words = F.array_distinct(F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+"), lambda w: w != ""))
@@ -275,12 +275,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     patterns = {r.pattern: r.n for r in counted.collect()}  # at most one per combination of votes
     posterior, _ = expectation_maximisation(patterns)
     share = FIT_ROWS / max(1, sum(patterns.values()))
-    some = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < int(1_000_000 * share)).select("text")
+    some = docs.filter(sampled(share, 7, "doc_id", "text")).select("text")
     rows = some.mapInArrow(_votes(insults), "pattern string, places array<int>").limit(2 * FIT_ROWS).collect()
     return train_scorer([(r.places, posterior.get(r.pattern, 0.5)) for r in rows])
 
 
-def _score(shared, text_at: int):
+def _score(shared, text_at: int, name: str):
     def run(batches):
         weights = shared.value.tolist()  # plain numbers are read faster one by one
         starts: dict[str, tuple[tuple[int, float], ...]] = {}
@@ -316,22 +316,23 @@ def _score(shared, text_at: int):
                 total = weights[-1] + math.fsum(dict(chain.from_iterable(tells[2] for tells in found if tells)).values())
                 total += sum(weights[place_of(w)] for w in traits_as_words(traits(text, words, counts, found)))
                 out.append(1 / (1 + math.exp(-min(50.0, max(-50.0, total)))))
-            yield batch.append_column("quality_score_", pa.array(out, pa.float64()))
+            yield batch.append_column(name, pa.array(out, pa.float64()))
 
     return run
 
 
-def with_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs with quality_score_ from 0 to 1 (rejected below 0.5), every row kept.
+def with_score(docs: DataFrame, labels: DataFrame, name: str = "quality_score_") -> DataFrame:
+    """docs with a score from 0 to 1 (rejected below 0.5) under `name`, every row kept; no column may have that name.
 
     A NULL text or one without words scores 0. Equal texts score alike; without labels no insult is
     known, and without documents nothing is trained. The corpus must have doc_id and text.
     """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
-    schema = T.StructType([*docs.schema.fields, T.StructField("quality_score_", T.DoubleType())])
-    return docs.mapInArrow(_score(shared, docs.columns.index("text")), schema)
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
+    return docs.mapInArrow(_score(shared, docs.columns.index("text"), name), schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not reject, with their own columns."""
-    return with_score(docs, labels).filter("quality_score_ >= 0.5").drop("quality_score_")
+    (score,) = fresh(docs.columns, "quality_score_")
+    return with_score(docs, labels, score).filter(F.col(score) >= 0.5).drop(score)
