@@ -41,7 +41,7 @@ STAGES = [
     ("pack", pack),
 ]
 
-#: The trained scorer and the tokenizer are not SQL; the pipeline is tested against brute force.
+#: The trained scorer and the tokenizer are not SQL; tests/llm/test_queries.py checks each stage against plain Python.
 ORACLE_SQL = None
 
 

@@ -185,7 +185,7 @@ def repeated_starts(shards: list[list[bytes]], length: int) -> list[list[np.ndar
 MERGED_BYTES, SHARDS = 1 << 20, 4
 #: Neighbouring strings that form a piece.
 CLASS = 24
-#: Small tables are broadcast up to this many rows and joined by shuffle beyond.
+#: Tables of a few numbers a row are broadcast up to this many rows and joined by shuffle beyond.
 BROADCAST_ROWS = 500_000
 
 
@@ -304,7 +304,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int =
     spans = contested.groupBy("doc_id").agg(
         F.collect_list(F.struct("anchor", "place", "first", (F.col("last") + length).alias("end"))).alias("spans")
     )
-    cut = docs.join(_small(stored(spans)), "doc_id").select("doc_id", "text", "spans")
+    # Rows of any length: Spark chooses by their bytes.
+    cut = docs.join(stored(spans), "doc_id").select("doc_id", "text", "spans")
     pieces = stored(cut.mapInArrow(_pieces(length), "doc_id long, start int, core binary, left binary, right binary"))
 
     # Equal pieces repeat as a whole and go on as one; a core with one piece is settled.
@@ -353,5 +354,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     docs = keyed(docs.select("doc_id", "text"))
     found = repeats(docs.select(F.col("row_").alias("doc_id"), "text"), length, gram)
     runs = found.groupBy(F.col("doc_id").alias("row_")).agg(F.collect_list(F.struct("start", "end")).alias("runs"))
-    joined = docs.join(_small(stored(runs)), "row_", "left").select("doc_id", "text", "runs")
+    joined = docs.join(stored(runs), "row_", "left").select("doc_id", "text", "runs")
     return joined.mapInArrow(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
