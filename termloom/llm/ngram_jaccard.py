@@ -4,11 +4,15 @@ A document is the set of its five-word shingles, hashed to 64 bits. Hash values
 and the XOR of a part's values is a sketch of it: a shingle that two documents do not share changes
 one part. With similarity s >= t the symmetric difference is at most d = (1-t)/(1+t) * (|A|+|B|), so
 of the non-empty parts of the smaller one all but d are the same in both (pigeonhole). Ordered by one
-global order (their own hash), the first d+1 parts of both sides must have one in common.
+global order, the first d+1 parts of both sides must have one in common. The order takes common parts
+last (as counted over a share of the documents), then goes by their own hash: a passage that many
+documents hold is offered only by those that have little else. Any order finds the same pairs.
 
 P depends on the size band; documents near a lower bound also emit for the band below. Copies count
 once. Candidates are kept apart by size and by the Hamming distance of a second, fixed-width parity
-sketch, and are verified on whole shingle sets.
+sketch, and are verified on whole shingle sets. Members of a key are compared with one of them first,
+with another one of each key while that settles much, and only those still in different components
+with each other.
 """
 
 from __future__ import annotations
@@ -26,6 +30,12 @@ from termloom.llm.storage import fresh, keyed, stored
 LOCAL_HOT = 16
 #: Documents to verify are found by a broadcast of their ids up to this many, by a shuffle beyond.
 BROADCAST_ROWS = 1_000_000
+#: Entries that a task holds before it packs them.
+HELD = 250_000
+#: One document in so many is counted for the order of parts; a part is common from so many on. The most frequent go to all tasks.
+COUNTED, COMMON, COMMON_MOST = 8, 4, 1 << 18
+#: Rounds that compare each member with one of its key, while more pairs than members are open.
+ROUNDS = 3
 #: The words of the fixed-width sketch.
 SKETCH = [f"s{i}" for i in range(8)]
 #: Documents up to this size take every shingle as a part of its own.
@@ -71,14 +81,9 @@ def band(n: int) -> int:
     return max(int(n).bit_length(), SMALL.bit_length() - 1)
 
 
-def part_keys(hashes: np.ndarray, threshold_pct: int) -> np.ndarray:
-    """The keys that a set offers: for its own size band, and for the band of its smallest partner."""
-    n = len(hashes)
-    if not n:
-        return hashes
-    # The pair's smaller side has n >= t * partner, so d <= (1-t)/(1+t) * (n + n/t) = n * (1-t)/t.
-    keep = n * (100 - threshold_pct) // threshold_pct + 1
-    out = []
+def all_part_keys(hashes: np.ndarray, threshold_pct: int) -> list[np.ndarray]:
+    """The keys of all parts of a set: for its own size band, and for the band of its smallest partner."""
+    n, out = len(hashes), []
     for b in {band(n), band(-(-n * threshold_pct // 100))}:
         if b <= band(SMALL - 1):
             keys = hashes
@@ -88,11 +93,78 @@ def part_keys(hashes: np.ndarray, threshold_pct: int) -> np.ndarray:
             part = (mix(hashes) % parts)[order]
             heads = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
             keys = np.bitwise_xor.reduceat(hashes[order], heads) + part[heads] * _U(0x9E3779B97F4A7C15)
-        keys = mix(keys ^ _U(b << 56))
+        out.append(mix(keys ^ _U(b << 56)))
+    return out
+
+
+def part_keys(hashes: np.ndarray, threshold_pct: int, common: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """The keys that a set offers: the first of each band, common ones (sorted keys and their counts) last."""
+    n = len(hashes)
+    if not n:
+        return hashes
+    # The pair's smaller side has n >= t * partner, so d <= (1-t)/(1+t) * (n + n/t) = n * (1-t)/t.
+    keep = n * (100 - threshold_pct) // threshold_pct + 1
+    out = []
+    for keys in all_part_keys(hashes, threshold_pct):
+        if len(keys) > keep and common is not None and len(common[0]):
+            at = np.minimum(np.searchsorted(common[0], keys), len(common[0]) - 1)
+            often = common[0][at] == keys
+            rare = keys[~often]
+            if len(rare) < keep:
+                turn = np.lexsort((keys[often], common[1][at[often]]))
+                keys = np.concatenate([rare, keys[often][turn][: keep - len(rare)]])
+            else:
+                keys = rare
         out.append(np.partition(keys, keep - 1)[:keep] if len(keys) > keep else keys)
     return np.concatenate(out)
 
 
+def _counted_keys(size: int, threshold_pct: int):
+    """Rows (key, n): in how many of a task's texts a part stands."""
+
+    def counted(keys: list[np.ndarray]) -> pa.RecordBatch:
+        found, n = np.unique(np.concatenate(keys), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["key", "n"])
+
+    def run(batches):
+        seen, keys, held = set(), [], 0
+        for batch in batches:
+            for hashes in shingle_sets(batch.column(0), size):
+                name = signature(hashes)
+                if not len(hashes) or name in seen:
+                    continue
+                seen.add(name)
+                keys.append(np.concatenate(all_part_keys(hashes, threshold_pct)))
+                held += len(keys[-1])
+                if held > 2 * HELD:
+                    yield counted(keys)
+                    keys, held = [], 0
+        if held:
+            yield counted(keys)
+
+    return run
+
+
+def common_parts(docs: DataFrame, size: int, threshold_pct: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, counts) of the parts that stand in COMMON or more of one document in COUNTED, sorted by key.
+
+    At most the COMMON_MOST most frequent; they order the parts and decide nothing else.
+    """
+    some = docs.filter(F.pmod(F.xxhash64("row_"), F.lit(COUNTED)) == 0).select("text")
+    counts = some.mapInArrow(_counted_keys(size, threshold_pct), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counts = stored(counts.filter(F.col("n") >= COMMON))
+    total, least = 0, COMMON
+    for n, keys in sorted(((r.n, r["count"]) for r in counts.groupBy("n").count().collect()), reverse=True):
+        total += keys
+        if total > COMMON_MOST:
+            least = n + 1
+            break
+    found = counts.filter(F.col("n") >= least).toArrow()
+    keys, n = (found.column(c).to_numpy() for c in ("key", "n"))
+    order = np.argsort(keys.view(_U))
+    return keys.view(_U)[order], n[order].astype(np.int32)
+
+
 def _describe(size: int):
     def run(batches):
         for batch in batches:
@@ -112,7 +184,7 @@ def _describe(size: int):
     return run
 
 
-def _key_blobs(size: int, threshold_pct: int, buckets: int):
+def _key_blobs(size: int, threshold_pct: int, buckets: int, common):
     """Rows (bucket, hot, entries): keys and signatures of a task's documents, packed per bucket.
 
     Copies within the task are taken once. Members of a key that is frequent within the task are
@@ -148,11 +220,11 @@ def _key_blobs(size: int, threshold_pct: int, buckets: int):
                 if not len(hashes) or name in seen:
                     continue
                 seen.add(name)
-                own = np.unique(part_keys(hashes, threshold_pct))
+                own = np.unique(part_keys(hashes, threshold_pct, common.value))
                 keys.append(own)
                 sigs.append(np.full(len(own), name, np.int64).view(_U))
                 held += len(own)
-                if held > 2_000_000:
+                if held > HELD:
                     yield packed()
                     keys, sigs, held = [], [], 0
         if held:
@@ -233,9 +305,15 @@ def _near(threshold_pct: int):
     return run
 
 
+def _named_in(pairs: DataFrame, of_sig: DataFrame) -> DataFrame:
+    """The rows of of_sig whose set stands in pairs; the others are not shuffled while these are few."""
+    wanted = stored(pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct())
+    return of_sig.join(F.broadcast(wanted), "sig", "left_semi") if wanted.count() <= BROADCAST_ROWS else of_sig
+
+
 def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, threshold_pct: int) -> DataFrame:
     """The pairs (a, b) of set names whose whole sets are similar enough; wide sketches are compared before."""
-    wide = classes.select("sig", "n", "wide")
+    wide = _named_in(pairs, classes.select("sig", "n", "wide"))
     both = pairs.join(wide.select(F.col("sig").alias("a"), F.col("n").alias("m"), F.col("wide").alias("x")), "a")
     both = both.join(wide.select(F.col("sig").alias("b"), "n", F.col("wide").alias("y")), "b")
     both = both.select("a", "b", "x", "y", (F.col("m") + F.col("n")).alias("n"))
@@ -272,32 +350,57 @@ def groups(docs: DataFrame, size: int, threshold_pct: int) -> DataFrame:
         described.filter("n > 0").groupBy("sig").agg(F.min("row_").alias("rep"), F.min("doc_id").alias("least_id"), *(F.max(c).alias(c) for c in ("n", *SKETCH, "wide")))
     )
     shuffle = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blobs = docs.select("text").mapInArrow(_key_blobs(size, threshold_pct, shuffle), "bucket long, hot int, entries binary")
+    common = docs.sparkSession.sparkContext.broadcast(common_parts(docs, size, threshold_pct))
+    blobs = docs.select("text").mapInArrow(_key_blobs(size, threshold_pct, shuffle, common), "bucket long, hot int, entries binary")
     members = blobs.repartition(shuffle, "bucket").mapInArrow(_repeated, "key long, sig long")
     members = stored(members)
-
-    # First every member against the smallest of its key, which settles groups of near copies.
     sketches = classes.select("sig", F.struct("n", *SKETCH).alias("v"))
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs.distinct())
+        own = _named_in(pairs, sketches)
+        pairs = pairs.join(own.select(F.col("sig").alias("a"), F.col("v").alias("x")), "a")
+        pairs = pairs.join(own.select(F.col("sig").alias("b"), F.col("v").alias("y")), "b")
+        return pairs.filter(_may_link(threshold_pct)).select("a", "b")
+
+    # First every member against the smallest of its key, which settles most groups of near copies.
     least = members.groupBy("key").agg(F.min("sig").alias("least"))
-    pairs = members.join(least, "key").filter("sig <> least").select(F.col("least").alias("a"), F.col("sig").alias("b")).distinct()
-    pairs = pairs.join(sketches.select(F.col("sig").alias("a"), F.col("v").alias("x")), "a")
-    pairs = pairs.join(sketches.select(F.col("sig").alias("b"), F.col("v").alias("y")), "b")
-    pairs = stored(pairs.filter(_may_link(threshold_pct)).select("a", "b"))
-    links = stored(_verify(pairs, docs, classes, size, threshold_pct))
-    comps = stored(components(links))
-
-    # Then what is left: keys whose members still lie in different components. The join's condition
-    # drops what sizes and sketches exclude, and Spark splits the join at frequent keys.
-    named = members.join(comps.withColumnRenamed("node", "sig"), "sig", "left")
-    named = named.select("key", "sig", F.coalesce("component", "sig").alias("comp"))
-    open_keys = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    rest = named.join(open_keys.filter("lo <> hi").select("key"), "key")
+    pairs = members.join(least, "key").filter("sig <> least").select(F.col("least").alias("a"), F.col("sig").alias("b"))
+    tried = stored(possible(pairs))
+    comps = stored(components(_verify(tried, docs, classes, size, threshold_pct)))
+
+    # Then what is left: keys of three members or more that still lie in different components, one of
+    # several that have the same members. While they hold many more pairs than members, every member is
+    # compared with one of its key; each key takes another one, so that a member meets several.
+    rest, before = members, None
+    for turn in range(ROUNDS + 1):
+        named = rest.select("key", "sig").join(comps.withColumnRenamed("node", "sig"), "sig", "left")
+        named = stored(named.select("key", "sig", F.coalesce("component", "sig").alias("comp")))
+        own = named.groupBy("key", "comp").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("sig")).alias("u"), F.bit_xor(F.xxhash64("sig", F.lit(turn + 1))).alias("w"))
+        each = own.groupBy("key").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("same"), F.bit_xor("u").alias("u"), F.bit_xor("w").alias("w"))
+        once = each.filter("n > 2 and same < n * n").groupBy("n", "u", "w", "same").agg(F.min("key").alias("key"))
+        once = stored(once.select("key", "n", ((F.col("n") * F.col("n") - F.col("same")) / 2).alias("open")))
+        total = once.agg(F.sum("n"), F.sum("open")).first()
+        rest = stored(named.join(once.select("key"), "key"))
+        if not total[0] or turn == ROUNDS or total[1] <= 2 * total[0] or (before and total[1] > before / 2):
+            break
+        before = total[1]
+        hub = rest.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "sig", F.lit(turn)), "sig", "comp")).alias("hub")).select("key", "hub.sig", "hub.comp")
+        more = rest.alias("x").join(hub.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")))
+        more = more.select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b"))
+        more = stored(possible(more).join(tried, ["a", "b"], "left_anti"))
+        tried = tried.union(more)
+        links = comps.toDF("a", "b").union(_verify(more, docs, classes, size, threshold_pct))
+        comps = stored(components(links))
+
+    # Last, all pairs of what is open. The join's condition drops what sizes and sketches exclude, and
+    # Spark splits the join at frequent keys.
     rest = stored(rest.join(classes.select("sig", "n", *SKETCH), "sig"))
     more = rest.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.sig") < F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & _may_link(threshold_pct))
     more = more.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct()
-    more = stored(more.join(pairs, ["a", "b"], "left_anti"))
+    more = stored(more.join(tried, ["a", "b"], "left_anti"))
     if not more.isEmpty():
-        links = links.union(_verify(more, docs, classes, size, threshold_pct))
+        links = comps.toDF("a", "b").union(_verify(more, docs, classes, size, threshold_pct))
         comps = stored(components(links))
 
     # Components are named by their smallest document.

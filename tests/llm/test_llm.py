@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -495,3 +496,26 @@ def test_part_keys_meet_at_the_threshold():
             both = len(np.intersect1d(a, b))
             if 100 * both >= 75 * (len(a) + len(b) - both):
                 assert len(np.intersect1d(ngram_jaccard.part_keys(a, 75), ngram_jaccard.part_keys(b, 75)))
+
+
+def test_common_passages_and_wide_clusters_are_joined_without_all_pairs(spark, monkeypatch):
+    """A passage in many texts is offered by none of them; near copies that differ from the first are still linked."""
+    rng = np.random.default_rng(10)
+    passage, base = prose(90, 40).split(), prose(91, 120).split()
+    corpus = {i: " ".join([*passage, *prose(1000 + i, 60).split()]) for i in range(160)}
+    for i in range(120):
+        words = list(base)
+        for at in rng.choice(len(words), int(rng.integers(0, 9)), replace=False):
+            words[at] = f"edit{i}x{at}"
+        corpus[1000 + i] = " ".join(words)
+    monkeypatch.setattr(ngram_jaccard, "COUNTED", 1)
+    rows = frame(spark, [(i, t, None, 0) for i, t in corpus.items()])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard.jaccard_join(rows).collect()}
+    assert got == brute_components(corpus)
+
+    docs = rows.withColumn("row_", F.col("doc_id"))
+    common = ngram_jaccard.common_parts(docs, 5, 75)
+    sets = list(ngram_jaccard.shingle_sets(pa.array([corpus[i] for i in range(160)]), 5))
+    offered = np.concatenate([np.unique(ngram_jaccard.part_keys(s, 75, common)) for s in sets])
+    assert np.unique(offered, return_counts=True)[1].max() < 16 <= len(common[0])
+    assert np.unique(np.concatenate([np.unique(ngram_jaccard.part_keys(s, 75)) for s in sets]), return_counts=True)[1].max() > 16
