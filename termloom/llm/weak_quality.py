@@ -78,10 +78,10 @@ class Words(dict):
 
 
 def known_words(key: str, basis, find) -> Words:
-    """The Words that this worker keeps for `basis`; new ones when the basis differs."""
-    held = worker_state("weak_" + key, dict)
-    if "basis" not in held or not np.array_equal(held["basis"], basis):
-        held.update(basis=basis, words=Words(find))
+    """The Words that this worker keeps for `basis`; new ones when the key or the basis differs, and no more than one."""
+    held = worker_state("weak_words", dict)
+    if held.get("key") != key or not np.array_equal(held["basis"], basis):
+        held.update(key=key, basis=basis, words=Words(find))
     return held["words"]
 
 
