@@ -206,6 +206,21 @@ def test_word_overlap_equals_one_hot_vectors(spark):
         assert found[row.id] == pytest.approx(tuple(row.s))
 
 
+def test_word_overlap_counts_words_without_rows_of_words(spark):
+    blank = chr(0x3000)  # no blank of Spark's expressions
+    rows = [(i % 7 or None, f"a{blank}b c\x0bd w{i}", f"c d d a{blank}b") for i in range(40)] + [(9, None, None)]
+    df = spark.createDataFrame(rows, "id int, p string, r string").repartition(5)
+    scored = overlap.token_overlap_f1(df, "id", "p", "r")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        found = {r.id: (r.precision, r.recall) for r in scored.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found == {**{i: (0.75, 1.0) for i in (None, *range(1, 7))}, 9: (0.0, 0.0)}
+    assert scored.columns == ["id", "precision", "recall", "f1"]
+    assert "Generate" not in scored._jdf.queryExecution().toString()
+
+
 def test_batches_and_padding(spark):
     from termloom.operators.sampling import with_draw
 
