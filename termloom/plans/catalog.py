@@ -814,14 +814,21 @@ def latest_settings(spark, sf_dir):
 # --- stored and read back -----------------------------------------------------------------------
 
 
+#: Bytes of a stored list per file, before compression; a task writes one file.
+FILE_BYTES = 64 << 20
+
+
 @query
 def paired_by_position(spark, sf_dir):
     """Two tables in files of their own cut, paired by place; the truths are fewer and end the pairing."""
     rows = standin(spark, sf_dir, "predictions")
 
-    def stored(df: DataFrame, files: int) -> DataFrame:
+    def stored(df: DataFrame, least: int) -> DataFrame:
         folder = _new_folder(spark, "lists")
-        df.repartitionByRange(files, F.col(df.columns[0])).sortWithinPartitions(df.columns[0]).write.parquet(folder)
+        key, text = df.columns
+        size = df.agg(F.sum(F.octet_length(text) + 8)).first()[0] or 0
+        files = max(least, math.ceil(size / FILE_BYTES))
+        df.repartitionByRange(files, F.col(key)).sortWithinPartitions(key).write.parquet(folder)
         return spark.read.parquet(folder)
 
     predictions = stored(rows.select(F.col("sample_id").alias("prediction_id"), "prediction"), 5)
