@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import tempfile
 import types
@@ -10,6 +11,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: The column by which `placed` stores its rows.
+PART = "part_"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a scratch folder only where none is set (tests)."""
@@ -46,6 +50,54 @@ def keyed(df: DataFrame, name: str = "row_") -> DataFrame:
     return stored(df.withColumn(name, F.monotonically_increasing_id()))
 
 
+def placed(df: DataFrame, name: str = "row_") -> DataFrame:
+    """`keyed`, with a column `part_` by which the rows are stored in buckets, so that `at_place` need not move them.
+
+    All rows of a task are one part, so every task writes one file.
+    """
+    spark, path = df.sparkSession, f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    rows = df.withColumn(name, F.monotonically_increasing_id()).withColumn(PART, part_of(name))
+    label = f"placed_{uuid.uuid4().hex}"
+    rows.write.bucketBy(shuffle_partitions(spark), PART).option("compression", "zstd").option("path", path).saveAsTable(label)
+    out = spark.table(label)
+    spark.sql(f"DROP TABLE {label}")  # its files stay, as the table is external
+    return out
+
+
+def part_of(name: str) -> Column:
+    """The part of a row key that `placed` gave: the task that wrote the row."""
+    return F.shiftright(name, 33)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@contextlib.contextmanager
+def in_place(spark: SparkSession):
+    """While it holds, a join by part and key takes both sides as they lie where they are dealt by part; restores the setting."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name, "true")
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def at_place(docs: DataFrame, few: DataFrame, key: str, collected: Column, how: str = "inner") -> DataFrame:
+    """docs joined by `key` to what is collected of each key's rows of `few`.
+
+    Rows that `placed` stored stay where they are while `in_place` holds, and only `few` is shuffled; its
+    `key` must be of docs.
+    """
+    if PART not in docs.columns:
+        return docs.join(few.groupBy(key).agg(collected), key, how)
+    # Dealt as the buckets are, which the grouping and the join keep.
+    few = few.withColumn(PART, part_of(key)).repartition(shuffle_partitions(docs.sparkSession), PART)
+    return docs.join(few.groupBy(PART, key).agg(collected).hint("shuffle_hash"), [PART, key], how)
+
+
 def sampled(share: float, seed: int, *keys: str) -> Column:
     """Whether a row is among a share of all, by a hash of its keys; shares of any size hold, above 1 all rows."""
     drawn = F.shiftrightunsigned(F.xxhash64(*keys, F.lit(seed)), 1).cast("double")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm.bytesops import mix, powers, text_slices
-from termloom.llm.storage import keyed, stored
+from termloom.llm.storage import PART, at_place, in_place, placed, stored
 
 LENGTH = 200
 GRAM = 32
@@ -251,15 +251,20 @@ def _merged(length: int):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["doc_id", "start", "end"])
 
     def run(batches):
-        held, size = [], 0
+        held, group, size = [], [], 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                # Whole cores are merged together; the next one starts a new lot when this one is full.
-                if size > MERGED_BYTES and row[2] != held[-1][2]:
-                    yield batch_of(work(held))
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[3]) + len(row[4]) + len(core_name(0))
+                # Whole cores are merged together, those of one piece are settled; the next one starts a new lot when this one is full.
+                if group and row[2] != group[0][2]:
+                    if len(group) > 1:
+                        held += group
+                        size += sum(len(r[3]) + len(r[4]) + len(core_name(0)) for r in group)
+                    group = []
+                    if size > MERGED_BYTES:
+                        yield batch_of(work(held))
+                        held, size = [], 0
+                group.append(row)
+        held += group if len(group) > 1 else []
         if held:
             yield batch_of(work(held))
 
@@ -285,14 +290,15 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int =
     """(doc_id, start, end): runs of bytes of each text whose strings of `length` bytes start elsewhere, too.
 
     Runs of one document may overlap and touch. Texts shorter than `length`, empty and NULL ones have
-    none, and no string crosses two documents. doc_id must not repeat or be NULL (callers pass a row key). Cores of more than
+    none, and no string crosses two documents. doc_id must not repeat or be NULL (callers pass a row key; with the
+    column of `placed`, texts are not moved). Cores of more than
     `most` different pieces do not meet in one task; the result does not depend on it.
     """
-    docs = docs.select("doc_id", "text")
-    every = stored(docs.mapInArrow(_anchor_rows(length, gram), "doc_id long, place int, first int, last int, anchor long, context long"))
+    docs = docs.select("doc_id", "text", *(c for c in docs.columns if c == PART))
+    every = stored(docs.select("doc_id", "text").mapInArrow(_anchor_rows(length, gram), "doc_id long, place int, first int, last int, anchor long, context long"))
     often = every.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
-    # Stored first, so that Spark can split the join at frequent anchors.
-    shared = stored(every.join(_small(stored(often)), "anchor"))
+    # Stored first, so that Spark can split the join at frequent anchors; they are as many as there is text.
+    shared = stored(every.join(stored(often), "anchor"))
     contexts = shared.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "place", "first", "last")).alias("one"))
     contexts = stored(contexts)
     settled = shared.join(contexts.filter("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi")
@@ -301,22 +307,20 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int =
     # Contexts that differ from others of their anchor.
     differ = contexts.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
     contested = contexts.join(_small(stored(differ)), "anchor").select("one.*", "anchor")
-    spans = contested.groupBy("doc_id").agg(
-        F.collect_list(F.struct("anchor", "place", "first", (F.col("last") + length).alias("end"))).alias("spans")
-    )
-    # Rows of any length: Spark chooses by their bytes.
-    cut = docs.join(stored(spans), "doc_id").select("doc_id", "text", "spans")
-    pieces = stored(cut.mapInArrow(_pieces(length), "doc_id long, start int, core binary, left binary, right binary"))
-
-    # Equal pieces repeat as a whole and go on as one; a core with one piece is settled.
+    spans = F.collect_list(F.struct("anchor", "place", "first", (F.col("last") + length).alias("end"))).alias("spans")
+    cut = at_place(docs, contested, "doc_id", spans).select("doc_id", "text", "spans")
+    with in_place(docs.sparkSession):
+        pieces = stored(cut.mapInArrow(_pieces(length), "doc_id long, start int, core binary, left binary, right binary"))
+
+    # Equal pieces repeat as a whole and go on as one.
     kinds = pieces.groupBy("core", "left", "right").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"), F.min("start").alias("start"))
     kinds = stored(kinds)
     equal = pieces.join(kinds.filter("n > 1").select("core", "left", "right"), ["core", "left", "right"], "left_semi")
     end = F.col("start") + F.octet_length("left") + F.octet_length("right") + (length - CLASS + 1)
     equal = equal.select("doc_id", "start", end.alias("end"))
-    cores = stored(kinds.groupBy("core").agg(F.count("*").alias("c")).filter("c > 1"))
-    few = kinds.join(cores.filter(F.col("c") <= most).select("core"), "core", "left_semi").select("doc_id", "start", "core", "left", "right", "n")
-    many = kinds.join(_small(cores.filter(F.col("c") > most).select("core")), "core", "left_semi")
+    hot = stored(kinds.groupBy("core").agg(F.count("*").alias("c")).filter((F.col("c") > 1) & (F.col("c") > most)).select("core"))
+    few = kinds.join(_small(hot), "core", "left_anti").select("doc_id", "start", "core", "left", "right", "n")
+    many = kinds.join(_small(hot), "core", "left_semi")
     count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = few.repartition(count, "core").sortWithinPartitions("core")
     found = settled.union(equal).union(dealt.mapInArrow(_merged(length), "doc_id long, start int, end int"))
@@ -351,8 +355,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     places; strings are judged on the input. n_spans counts maximal removed runs. A NULL text is empty;
     an empty table gives no row; other columns are ignored. doc_id may repeat or be NULL.
     """
-    docs = keyed(docs.select("doc_id", "text"))
-    found = repeats(docs.select(F.col("row_").alias("doc_id"), "text"), length, gram)
-    runs = found.groupBy(F.col("doc_id").alias("row_")).agg(F.collect_list(F.struct("start", "end")).alias("runs"))
-    joined = docs.join(stored(runs), "row_", "left").select("doc_id", "text", "runs")
-    return joined.mapInArrow(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    docs = placed(docs.select("doc_id", "text"))
+    found = repeats(docs.select(F.col("row_").alias("doc_id"), "text", PART), length, gram).withColumnRenamed("doc_id", "row_")
+    joined = at_place(docs, found, "row_", F.collect_list(F.struct("start", "end")).alias("runs"), "left")
+    out = joined.select("doc_id", "text", "runs").mapInArrow(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    with in_place(docs.sparkSession):
+        return stored(out)
