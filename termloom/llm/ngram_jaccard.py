@@ -17,6 +17,8 @@ with each other.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,10 +36,12 @@ BROADCAST_ROWS = 1_000_000
 HELD = 250_000
 #: One document in so many is counted for the order of parts; a part is common from so many on. The most frequent go to all tasks.
 COUNTED, COMMON, COMMON_MOST = 8, 4, 1 << 18
+#: Texts whose sets a task holds at once.
+LOT = 500
 #: Rounds that compare each member with one of its key, while more pairs than members are open.
 ROUNDS = 3
-#: The words of the fixed-width sketch.
-SKETCH = [f"s{i}" for i in range(8)]
+#: The words of the fixed-width sketch, and of the longer one of sets whose pairs are compared within keys.
+SKETCH, LONG = [f"s{i}" for i in range(8)], [f"s{i}" for i in range(32)]
 #: Documents up to this size take every shingle as a part of its own.
 SMALL = 64
 _U = np.uint64
@@ -64,8 +68,8 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
 
 
 def wide_sketch(hashes: np.ndarray) -> bytes:
-    """Parity at a number of places that grows with the set (a power of two, at least four times its size)."""
-    bits = 1 << max(6, (4 * len(hashes) - 1).bit_length())
+    """Parity at a number of places that grows with the set (a power of two, at least four times its size and all of LONG)."""
+    bits = 1 << max((64 * len(LONG) - 1).bit_length(), (4 * len(hashes) - 1).bit_length())
     odd = np.bincount((hashes >> _U(8)).astype(np.int64) % bits, minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -77,6 +81,14 @@ def wide_distance(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum())
 
 
+def _long(batches):
+    """(sig, n, *LONG): the wide sketches folded to one width, which all have at least."""
+    for batch in batches:
+        rows = [np.bitwise_xor.reduce(np.frombuffer(w.as_buffer(), np.int64).reshape(-1, len(LONG)), axis=0) for w in batch.column(2)]
+        columns = np.array(rows, np.int64).reshape(-1, len(LONG)).T
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c) for c in columns)], names=["sig", "n", *LONG])
+
+
 def band(n: int) -> int:
     return max(int(n).bit_length(), SMALL.bit_length() - 1)
 
@@ -168,22 +180,28 @@ def common_parts(docs: DataFrame, size: int, threshold_pct: int) -> tuple[np.nda
 def _describe(size: int):
     def run(batches):
         for batch in batches:
-            sets = list(shingle_sets(batch.column(2), size))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([signature(s) for s in sets], pa.int64()),
-                    *(pa.array(c, pa.int64()) for c in np.array([sketch(s) for s in sets]).reshape(-1, len(SKETCH)).T),
-                    pa.array([wide_sketch(s) for s in sets], pa.binary()),
-                ],
-                names=["row_", "doc_id", "n", "sig", *SKETCH, "wide"],
-            )
+            for part in parts(batch):
+                sets = list(shingle_sets(part.column(2), size))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        part.column(1),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([signature(s) for s in sets], pa.int64()),
+                        *(pa.array(c, pa.int64()) for c in np.array([sketch(s) for s in sets]).reshape(-1, len(SKETCH)).T),
+                        pa.array([wide_sketch(s) for s in sets], pa.binary()),
+                    ],
+                    names=["row_", "doc_id", "n", "sig", *SKETCH, "wide"],
+                )
 
     return run
 
 
+def parts(batch: pa.RecordBatch, rows: int = LOT):
+    """The batch in slices of a few rows, so that what is made of their sets stays small."""
+    return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
+
+
 def _key_blobs(size: int, threshold_pct: int, buckets: int, common):
     """Rows (bucket, hot, entries): keys and signatures of a task's documents, packed per bucket.
 
@@ -241,40 +259,52 @@ def _runs(values: np.ndarray):
 
 
 def _repeated(batches):
-    """Of the buckets of this task: (key, sig) of keys with two different sets or more."""
+    """Of the buckets of this task: (key, sig, least) of keys with two different sets or more.
+
+    `least` is the smallest sig of the key. A key of two sets is no more than their pair: it is given once, without
+    its key. Hot members come without `least`; their key has LOCAL_HOT others here.
+    """
     pieces = []
     for batch in batches:
         for hot, blob in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-            both = np.frombuffer(blob.as_buffer(), _U).reshape(2, -1)
+            both = np.frombuffer(blob.as_buffer(), np.int64).reshape(2, -1)
             if hot:
-                yield _members(both[0], both[1])
+                yield _members(both[0], both[1], None)
             else:
                 pieces.append(both)
-    if pieces:
-        both = np.concatenate(pieces, axis=1)
-        order = np.lexsort((both[1], both[0]))
-        k, s = both[0][order], both[1][order]
-        new = np.r_[True, (k[1:] != k[:-1]) | (s[1:] != s[:-1])]
-        k, s = k[new], s[new]
-        same = k[1:] == k[:-1]
-        many = np.r_[same, False] | np.r_[False, same]
-        for at in range(0, int(many.sum()), 200_000):
-            yield _members(k[many][at : at + 200_000], s[many][at : at + 200_000])
-
-
-def _members(keys: np.ndarray, sigs: np.ndarray) -> pa.RecordBatch:
+    if not pieces:
+        return
+    both = np.concatenate(pieces, axis=1)
+    pieces.clear()
+    order = np.lexsort((both[1], both[0]))
+    k, s = both[0][order], both[1][order]
+    new = np.r_[True, (k[1:] != k[:-1]) | (s[1:] != s[:-1])]
+    k, s = k[new], s[new]
+    heads = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+    count = np.diff(np.r_[heads, len(k)])
+    two = heads[count == 2]
+    least, other = np.unique(np.stack([s[two], s[two + 1]]), axis=1)
+    for at in range(0, len(least), 200_000):
+        yield _members(None, other[at : at + 200_000], least[at : at + 200_000])
+    many = np.repeat(count > 2, count)
+    k, s, least = k[many], s[many], np.repeat(s[heads], count)[many]
+    for at in range(0, len(k), 200_000):
+        yield _members(k[at : at + 200_000], s[at : at + 200_000], least[at : at + 200_000])
+
+
+def _members(keys: np.ndarray | None, sigs: np.ndarray, least: np.ndarray | None) -> pa.RecordBatch:
+    none = pa.nulls(len(sigs), pa.int64())
     return pa.RecordBatch.from_arrays(
-        [pa.array(keys.view(np.int64)), pa.array(sigs.view(np.int64))], names=["key", "sig"]
+        [none if keys is None else pa.array(keys), pa.array(sigs), none if least is None else pa.array(least)], names=["key", "sig", "least"]
     )
 
 
 def _set_blobs(size: int):
     def run(batches):
         for batch in batches:
-            sets = list(shingle_sets(batch.column(1), size))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["sig", "hashes"]
-            )
+            for part in parts(batch):
+                sets = pa.array([s.tobytes() for s in shingle_sets(part.column(1), size)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), sets], names=["sig", "hashes"])
 
     return run
 
@@ -328,10 +358,10 @@ def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, th
     return both.mapInArrow(_verified(threshold_pct), "a long, b long")
 
 
-def _may_link(threshold_pct: int):
+def _may_link(threshold_pct: int, words: list[str] = SKETCH):
     """Sizes and sketches of x and y allow the similarity."""
     x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
-    bits = sum((F.bit_count(x(c).bitwiseXOR(y(c))) for c in SKETCH[1:]), F.bit_count(x(SKETCH[0]).bitwiseXOR(y(SKETCH[0]))))
+    bits = reduce(lambda a, b: a + b, (F.bit_count(x(c).bitwiseXOR(y(c))) for c in words))
     return (
         (100 * F.least(x("n"), y("n")) >= threshold_pct * F.greatest(x("n"), y("n")))
         & (bits * (100 + threshold_pct) <= (100 - threshold_pct) * (x("n") + y("n")))
@@ -352,7 +382,7 @@ def groups(docs: DataFrame, size: int, threshold_pct: int) -> DataFrame:
     shuffle = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     common = docs.sparkSession.sparkContext.broadcast(common_parts(docs, size, threshold_pct))
     blobs = docs.select("text").mapInArrow(_key_blobs(size, threshold_pct, shuffle, common), "bucket long, hot int, entries binary")
-    members = blobs.repartition(shuffle, "bucket").mapInArrow(_repeated, "key long, sig long")
+    members = blobs.repartition(shuffle, "bucket").mapInArrow(_repeated, "key long, sig long, least long")
     members = stored(members)
     sketches = classes.select("sig", F.struct("n", *SKETCH).alias("v"))
 
@@ -364,15 +394,17 @@ def groups(docs: DataFrame, size: int, threshold_pct: int) -> DataFrame:
         return pairs.filter(_may_link(threshold_pct)).select("a", "b")
 
     # First every member against the smallest of its key, which settles most groups of near copies.
-    least = members.groupBy("key").agg(F.min("sig").alias("least"))
-    pairs = members.join(least, "key").filter("sig <> least").select(F.col("least").alias("a"), F.col("sig").alias("b"))
+    hot = members.filter("key is not null and least is null").select("key", "sig")
+    least = members.filter("key is not null and sig = least").select("key", "least").join(hot.select("key").distinct(), "key", "left_semi")
+    pairs = members.select("sig", "least").union(hot.join(least, "key").select("sig", "least")).filter("sig <> least")
+    pairs = pairs.select(F.least("least", "sig").alias("a"), F.greatest("least", "sig").alias("b"))
     tried = stored(possible(pairs))
     comps = stored(components(_verify(tried, docs, classes, size, threshold_pct)))
 
     # Then what is left: keys of three members or more that still lie in different components, one of
     # several that have the same members. While they hold many more pairs than members, every member is
     # compared with one of its key; each key takes another one, so that a member meets several.
-    rest, before = members, None
+    rest, before = members.filter("key is not null"), None
     for turn in range(ROUNDS + 1):
         named = rest.select("key", "sig").join(comps.withColumnRenamed("node", "sig"), "sig", "left")
         named = stored(named.select("key", "sig", F.coalesce("component", "sig").alias("comp")))
@@ -393,10 +425,12 @@ def groups(docs: DataFrame, size: int, threshold_pct: int) -> DataFrame:
         links = comps.toDF("a", "b").union(_verify(more, docs, classes, size, threshold_pct))
         comps = stored(components(links))
 
-    # Last, all pairs of what is open. The join's condition drops what sizes and sketches exclude, and
-    # Spark splits the join at frequent keys.
-    rest = stored(rest.join(classes.select("sig", "n", *SKETCH), "sig"))
-    more = rest.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.sig") < F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & _may_link(threshold_pct))
+    # Last, all pairs of what is open. The join's condition drops what sizes and longer sketches exclude (short ones
+    # tell nothing of large sets), and Spark splits the join at frequent keys.
+    open_ = stored(rest.select("sig").distinct())
+    long = classes.select("sig", "n", "wide").join(open_, "sig", "left_semi").mapInArrow(_long, "sig long, n long" + "".join(f", {c} long" for c in LONG))
+    rest = stored(rest.join(long, "sig"))
+    more = rest.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.sig") < F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & _may_link(threshold_pct, LONG))
     more = more.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct()
     more = stored(more.join(tried, ["a", "b"], "left_anti"))
     if not more.isEmpty():
@@ -420,7 +454,7 @@ def jaccard_join(docs: DataFrame, size: int = 5, threshold_pct: int = 75) -> Dat
     text has no shingle and links with nothing. Repeated texts are one class; doc_id may repeat or be
     NULL. An empty table gives an empty result. Other columns are ignored.
     """
-    return groups(keyed(docs.select("doc_id", "text")), size, threshold_pct).select("doc_id", "n_shingles", "component_id")
+    return groups(keyed(docs.select("doc_id", "text"), compression="zstd"), size, threshold_pct).select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame, size: int = 5, threshold_pct: int = 75) -> DataFrame:
@@ -430,7 +464,7 @@ def keep_one(docs: DataFrame, size: int = 5, threshold_pct: int = 75) -> DataFra
     shingle stay.
     """
     (key,) = fresh(docs.columns, "row_")
-    rows = keyed(docs, key)
+    rows = keyed(docs, key, compression="zstd")
     of_row = stored(groups(rows.select(F.col(key).alias("row_"), "doc_id", "text"), size, threshold_pct).select("row_", "doc_id", "group"))
     first = of_row.filter("group is not null").groupBy("group").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "row_")).alias("one"))
     kept = first.select("one.row_").union(of_row.filter("group is null").select("row_")).withColumnRenamed("row_", key)

@@ -25,13 +25,13 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(df: DataFrame, *by: str) -> DataFrame:
+def stored(df: DataFrame, *by: str, compression: str | None = None) -> DataFrame:
     """Write df as Parquet into the shared folder, in folders by the columns named, and read it back.
 
     Cuts the lineage: a lost executor later costs a reread, not a recomputation.
     """
     path = f"{shared_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
-    df.write.partitionBy(*by).parquet(path)
+    df.write.partitionBy(*by).parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -45,9 +45,9 @@ def fresh(columns: list[str], *names: str) -> list[str]:
     return out
 
 
-def keyed(df: DataFrame, name: str = "row_") -> DataFrame:
+def keyed(df: DataFrame, name: str = "row_", compression: str | None = None) -> DataFrame:
     """df with a key of each row that is stored, so that ids may repeat or be NULL; no column may have its name."""
-    return stored(df.withColumn(name, F.monotonically_increasing_id()))
+    return stored(df.withColumn(name, F.monotonically_increasing_id()), compression=compression)
 
 
 def placed(df: DataFrame, name: str = "row_") -> DataFrame:

@@ -24,3 +24,25 @@ def test_keys_are_packed_in_small_lots():
     batches = [pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])]
     lots = [sum(len(b) for b in lot.column(2).to_pylist()) // 16 for lot in ngram_jaccard._key_blobs(5, 75, 4, Common)(batches)]
     assert len(lots) > 1 and max(lots) < 300_000
+
+
+def test_sets_are_made_for_a_few_texts_at_a_time():
+    texts = pa.RecordBatch.from_arrays([pa.array(range(1200)), pa.array(range(1200)), pa.array([f"{i} b c d e f" for i in range(1200)])], names=["row_", "doc_id", "text"])
+    assert [b.num_rows for b in ngram_jaccard._describe(5)([texts])] == [500, 500, 200]
+
+
+def test_a_key_of_two_sets_is_given_as_their_pair():
+    # Keys 1 and 2 stand in the same two sets, key 3 in three, key 4 in one.
+    entries = np.array([[1, 1, 2, 2, 3, 3, 3, 4], [10, 20, 20, 10, 30, 10, 20, 10]], np.int64)
+    batch = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([0], pa.int32()), pa.array([entries.tobytes()])], names=["bucket", "hot", "entries"])
+    rows = [tuple(r.values()) for b in ngram_jaccard._repeated([batch]) for r in b.to_pylist()]
+    assert rows == [(None, 20, 10), (3, 10, 10), (3, 20, 10), (3, 30, 10)]
+
+
+def test_long_sketches_tell_large_sets_apart():
+    rng = np.random.default_rng(2)
+    x, y = (np.unique(rng.integers(0, 1 << 63, 1500).astype(np.uint64)) for _ in range(2))
+    wide = pa.array([ngram_jaccard.wide_sketch(s) for s in (x, y)])
+    rows = next(ngram_jaccard._long([pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array([1500, 1500]), wide], names=["sig", "n", "wide"])]))
+    words = np.array([rows.column(c).to_numpy() for c in ngram_jaccard.LONG])
+    assert np.bitwise_count(words[:, 0] ^ words[:, 1]).sum() * 175 > 25 * 3000 >= np.bitwise_count(ngram_jaccard.sketch(x) ^ ngram_jaccard.sketch(y)).sum() * 175
