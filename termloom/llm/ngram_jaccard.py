@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from termloom.llm.bytesops import mix, shingle_hashes, space_words, text_slices
 from termloom.llm.components import components
-from termloom.llm.storage import fresh, keyed, stored
+from termloom.llm.storage import fresh, keyed, release, stored
 
 #: Members of one key within one task beyond which they skip the exchange by key.
 LOCAL_HOT = 16
@@ -139,6 +139,7 @@ def _counted_keys(size: int, threshold_pct: int):
         return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["key", "n"])
 
     def run(batches):
+        release()
         seen, keys, held = set(), [], 0
         for batch in batches:
             for hashes in shingle_sets(batch.column(0), size):
@@ -179,6 +180,7 @@ def common_parts(docs: DataFrame, size: int, threshold_pct: int) -> tuple[np.nda
 
 def _describe(size: int):
     def run(batches):
+        release()
         for batch in batches:
             for part in parts(batch):
                 sets = list(shingle_sets(part.column(2), size))
@@ -210,6 +212,7 @@ def _key_blobs(size: int, threshold_pct: int, buckets: int, common):
     """
 
     def run(batches):
+        release()
         seen: set[int] = set()
         keys, sigs, held = [], [], 0
 
@@ -301,6 +304,7 @@ def _members(keys: np.ndarray | None, sigs: np.ndarray, least: np.ndarray | None
 
 def _set_blobs(size: int):
     def run(batches):
+        release()
         for batch in batches:
             for part in parts(batch):
                 sets = pa.array([s.tobytes() for s in shingle_sets(part.column(1), size)], pa.binary())
@@ -324,6 +328,7 @@ def _verified(threshold_pct: int):
 
 def _near(threshold_pct: int):
     def run(batches):
+        release()
         for batch in batches:
             keep = [
                 wide_distance(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) * (100 + threshold_pct)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import sys
 import tempfile
 import types
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,3 +118,13 @@ def worker_state(key: str, make):
     if not hasattr(held, key):
         setattr(held, key, make())
     return getattr(held, key)
+
+
+def release() -> None:
+    """Drop what former stages keep in this Python worker, and hand unused memory back to the system."""
+    held = sys.modules.get("_worker_state")
+    if held and any(not name.startswith("__") for name in vars(held)):
+        for name in [name for name in vars(held) if not name.startswith("__")]:
+            delattr(held, name)
+        gc.collect()
+        pa.default_memory_pool().release_unused()

@@ -1,9 +1,12 @@
 """What a Python worker holds between and within tasks."""
 
+import sys
+import types
+
 import numpy as np
 import pyarrow as pa
 
-from termloom.llm import ngram_jaccard, weak_quality
+from termloom.llm import ngram_jaccard, storage, weak_quality
 
 
 def test_a_worker_keeps_the_words_of_one_stage_only(monkeypatch):
@@ -26,6 +29,14 @@ def test_keys_are_packed_in_small_lots():
     assert len(lots) > 1 and max(lots) < 300_000
 
 
+def test_tasks_that_look_for_near_copies_drop_what_a_former_stage_keeps(monkeypatch):
+    monkeypatch.setitem(sys.modules, "_worker_state", types.ModuleType("_worker_state"))
+    storage.worker_state("weak_words", dict).update(words="many")
+    texts = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([7]), pa.array(["a b c d e f"])], names=["row_", "doc_id", "text"])
+    assert [b.num_rows for b in ngram_jaccard._describe(5)([texts])] == [1]
+    assert storage.worker_state("weak_words", dict) == {}
+
+
 def test_sets_are_made_for_a_few_texts_at_a_time():
     texts = pa.RecordBatch.from_arrays([pa.array(range(1200)), pa.array(range(1200)), pa.array([f"{i} b c d e f" for i in range(1200)])], names=["row_", "doc_id", "text"])
     assert [b.num_rows for b in ngram_jaccard._describe(5)([texts])] == [500, 500, 200]
