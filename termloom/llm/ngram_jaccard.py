@@ -35,7 +35,7 @@ BROADCAST_ROWS = 1_000_000
 #: Entries that a task holds before it packs them.
 HELD = 250_000
 #: One document in so many is counted for the order of parts; a part is common from so many on. The most frequent go to all tasks.
-COUNTED, COMMON, COMMON_MOST = 8, 4, 1 << 18
+COUNTED, COMMON, COMMON_MOST = 8, 2, 1 << 20
 #: Texts whose sets a task holds at once.
 LOT = 500
 #: Rounds that compare each member with one of its key, while more pairs than members are open.
@@ -68,8 +68,8 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
 
 
 def wide_sketch(hashes: np.ndarray) -> bytes:
-    """Parity at a number of places that grows with the set (a power of two, at least four times its size and all of LONG)."""
-    bits = 1 << max((64 * len(LONG) - 1).bit_length(), (4 * len(hashes) - 1).bit_length())
+    """Parity at a number of places that grows with the set (a power of two, at least its size and all of LONG)."""
+    bits = 1 << max((64 * len(LONG) - 1).bit_length(), (len(hashes) - 1).bit_length())
     odd = np.bincount((hashes >> _U(8)).astype(np.int64) % bits, minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -433,6 +433,7 @@ def groups(docs: DataFrame, size: int, threshold_pct: int) -> DataFrame:
     # Last, all pairs of what is open. The join's condition drops what sizes and longer sketches exclude (short ones
     # tell nothing of large sets), and Spark splits the join at frequent keys.
     open_ = stored(rest.select("sig").distinct())
+    open_ = F.broadcast(open_) if open_.count() <= BROADCAST_ROWS else open_
     long = classes.select("sig", "n", "wide").join(open_, "sig", "left_semi").mapInArrow(_long, "sig long, n long" + "".join(f", {c} long" for c in LONG))
     rest = stored(rest.join(long, "sig"))
     more = rest.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.sig") < F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & _may_link(threshold_pct, LONG))

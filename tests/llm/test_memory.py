@@ -57,3 +57,19 @@ def test_long_sketches_tell_large_sets_apart():
     rows = next(ngram_jaccard._long([pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array([1500, 1500]), wide], names=["sig", "n", "wide"])]))
     words = np.array([rows.column(c).to_numpy() for c in ngram_jaccard.LONG])
     assert np.bitwise_count(words[:, 0] ^ words[:, 1]).sum() * 175 > 25 * 3000 >= np.bitwise_count(ngram_jaccard.sketch(x) ^ ngram_jaccard.sketch(y)).sum() * 175
+
+
+def test_wide_sketches_take_two_places_a_shingle_at_most_and_bound_the_difference():
+    rng = np.random.default_rng(4)
+    every = rng.integers(0, 1 << 63, 40_000).astype(np.uint64)
+    for n in (1, 100, 449, 2048, 2049, 5000, 11_000):
+        bits = 8 * len(ngram_jaccard.wide_sketch(every[:n]))
+        assert bits & (bits - 1) == 0 and 2048 <= bits <= max(2048, 2 * n)
+        for m in (n, n * 4 // 3):
+            shared = n * 9 // 10
+            other = np.r_[every[:shared], every[20_000 : 20_000 + m - shared]]
+            x, y = (np.frombuffer(ngram_jaccard.wide_sketch(s), np.uint64) for s in (every[:n], other))
+            assert ngram_jaccard.wide_distance(x, y) <= n - shared + len(other) - shared
+            # Sets with nothing in common are told apart at any size.
+            apart = np.frombuffer(ngram_jaccard.wide_sketch(every[20_000 : 20_000 + m]), np.uint64)
+            assert n < 10 or ngram_jaccard.wide_distance(x, apart) * 175 > 25 * (n + m)
