@@ -24,6 +24,8 @@ SENT = 1_200_000
 BROADCAST_ROWS = 200_000
 #: Different raw words of which a task keeps the letter words before it starts anew.
 KNOWN = 600_000
+#: Characters of words whose n-grams are counted at once.
+LOT = 1_000_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -32,6 +34,8 @@ def held_out(doc_id: Column) -> Column:
 
 
 def letter_words(raw: str) -> list[str]:
+    if raw.isalpha():
+        return [raw]
     return [w for w in _LETTERS.findall(raw) if any(c.isalpha() for c in w)]
 
 
@@ -41,45 +45,71 @@ def grams_of(word: str, n: int) -> list[str]:
     return [word[i : i + n] for i in range(len(word) - n + 1)]
 
 
-def _emit(counts: Counter):
-    rows = list(counts.items())
-    return pa.RecordBatch.from_arrays(
-        [pa.array([k[0] for k, _ in rows], pa.string()), pa.array([k[1] for k, _ in rows], pa.string()), pa.array([v for _, v in rows], pa.int64())],
-        names=["lang", "word", "n"],
-    )
+def _emit(langs, words, n):
+    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(n, pa.int64())], names=["lang", "word", "n"])
 
 
 def _count_words(batches):
     counts: dict[str, Counter] = {}
 
     def flush():
-        total = Counter()
         for lang, raw in counts.items():
+            total = Counter({token: n for token, n in raw.items() if token.isalpha()})
             for token, n in raw.items():
-                for word in letter_words(token):
-                    total[lang, word] += n
+                if not token.isalpha():
+                    for word in letter_words(token):
+                        total[word] += n
+            yield _emit([lang] * len(total), list(total), list(total.values()))
         counts.clear()
-        return _emit(total)
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             counts.setdefault(lang, Counter()).update(text.as_py().lower().split())
         if sum(map(len, counts.values())) > 500_000:
-            yield flush()
-    yield flush()
+            yield from flush()
+    yield from flush()
+
+
+def gram_counts(langs: list[str], words: list[str], times: list[int]):
+    """(lang, gram, n) by size: how often the n-grams of `grams_of` occur in words that occur `times` times."""
+    names = sorted(set(langs))
+    lang = np.searchsorted(names, langs)
+    codes = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le"), np.uint32)
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    word = np.repeat(np.arange(len(words)), lengths)
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))  # characters up to the word's end
+    letters, code = np.unique(codes, return_inverse=True)
+    times = np.asarray(times, np.int64)
+    at, rank = np.arange(len(codes)), lang[word]
+    for size in range(1, LONGEST + 1):
+        # An n-gram is named by the rank of the one without its last character, and that character.
+        stay = left[at] >= size
+        at, rank = at[stay], rank[stay] * len(letters) + code[at[stay] + size - 1]
+        if not len(at):
+            return
+        _, first, rank = np.unique(rank, return_index=True, return_inverse=True)
+        n = np.bincount(rank, weights=times[word[at]]).astype(np.int64)
+        first = at[first]
+        if size == 1:  # without the marks
+            inner = (codes[first] != ord("^")) & (codes[first] != ord("$"))
+            first, n = first[inner], n[inner]
+        grams = np.ascontiguousarray(codes[first[:, None] + np.arange(size)]).view(f"<U{size}").ravel()
+        yield [names[k] for k in lang[word[first]]], grams.tolist(), n
 
 
 def _count_grams(batches):
-    total = Counter()
+    lot, held = ([], [], []), 0
     for batch in batches:
-        for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            for size in range(1, LONGEST + 1):
-                for gram in grams_of(word, size):
-                    total[lang, gram] += n
-        if len(total) > 500_000:
-            yield _emit(total)
-            total = Counter()
-    yield _emit(total)
+        for k, column in enumerate(batch.columns):
+            lot[k].extend(column.to_pylist())
+        held = held + sum(map(len, lot[1][-batch.num_rows :])) if batch.num_rows else held
+        if held > LOT:
+            for rows in gram_counts(*lot):
+                yield _emit(*rows)
+            lot, held = ([], [], []), 0
+    if held:
+        for rows in gram_counts(*lot):
+            yield _emit(*rows)
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -157,31 +187,62 @@ def score_words(wanted: DataFrame, words: DataFrame, grams: DataFrame, langs: li
     return stored(out)
 
 
+class _Codes(dict):
+    """Of each raw word: the place of its only letter word if that is sent, -1 for none, else -2 - k for the letter words others[k]."""
+
+    def __init__(self, place: dict[str, int]):
+        super().__init__(place)
+        self.place, self.others = place, []
+
+    def __missing__(self, raw: str) -> int:
+        words = letter_words(raw)
+        if len(words) == 1 and words[0] in self.place:
+            code = self.place[words[0]]
+        elif words:
+            self.others.append(words)
+            code = -1 - len(self.others)
+        else:
+            code = -1
+        self[raw] = code
+        return code
+
+
 def _judge_frequent(model):
     """(row_, doc_id, held_out, part, n, rest): the sum over the words sent, the number of words, and the other words."""
-    inner = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
 
     def run(batches):
         place, scores = model.value
-        known: dict[str, list[str]] = {}
+        codes = _Codes(place)
         for batch in batches:
-            parts, numbers, rests = [], [], []
+            parts, numbers, words, times, ends = [], [], [], [], [0]
             for text in batch.column(3):
-                if len(known) > KNOWN:
-                    known.clear()
-                counts: dict[str, int] = {}
-                for raw, n in Counter((text.as_py() or "").lower().split()).items():
-                    if raw not in known:
-                        known[raw] = letter_words(raw)
-                    for word in known[raw]:
-                        counts[word] = counts.get(word, 0) + n
-                here = {place[w]: n for w, n in counts.items() if w in place}
-                at, times = np.fromiter(here, int, len(here)), np.fromiter(here.values(), float, len(here))
-                parts.append((scores[at] * times[:, None]).sum(axis=0).tolist())
-                numbers.append(sum(counts.values()))
-                rests.append([{"word": w, "n": n} for w, n in counts.items() if w not in place])
+                if len(codes) > len(place) + KNOWN:
+                    codes = _Codes(place)
+                raw = (text.as_py() or "").lower().split()
+                code = np.fromiter(map(codes.__getitem__, raw), np.int64, len(raw))
+                more: list[int] = []
+                rest: dict[str, int] = {}
+                for k in code[code < -1].tolist():
+                    for word in codes.others[-2 - k]:
+                        if word in place:
+                            more.append(place[word])
+                        else:
+                            rest[word] = rest.get(word, 0) + 1
+                at, count = np.unique(np.r_[code[code >= 0], np.array(more, np.int64)], return_counts=True)
+                parts.append((scores[at] * count[:, None]).sum(axis=0))
+                numbers.append(int(count.sum()) + sum(rest.values()))
+                words.extend(rest)
+                times.extend(rest.values())
+                ends.append(len(words))
+            flat = np.concatenate(parts) if parts else np.zeros(0)
+            rests = pa.StructArray.from_arrays([pa.array(words, pa.string()), pa.array(times, pa.int64())], names=["word", "n"])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(parts, pa.list_(pa.float64())), pa.array(numbers, pa.int64()), pa.array(rests, inner)],
+                [
+                    *batch.columns[:3],
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(parts) + 1) * scores.shape[1], pa.int32()), pa.array(flat)),
+                    pa.array(numbers, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rests),
+                ],
                 names=["row_", "doc_id", "held_out", "part", "n", "rest"],
             )
 
@@ -219,7 +280,7 @@ def identify(docs: DataFrame, train: DataFrame, sent: int = SENT) -> DataFrame:
     langs, words, grams = learn(train)
     place, scores = {}, np.zeros((0, len(langs)))
     if langs:
-        held = most_frequent(words, sent // len(langs)).select("word", "v").toArrow()
+        held = most_frequent(words, sent // len(langs)).select("word", "v").toArrow().sort_by("word")  # so that sums go in one order
         place = {w: i for i, w in enumerate(held.column("word").to_pylist())}
         if place:
             scores = held.column("v").combine_chunks().flatten().to_numpy().reshape(-1, len(langs))

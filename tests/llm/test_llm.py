@@ -361,6 +361,39 @@ def test_language_keeps_every_word(spark):
         assert by[100][0] == "en" and by[None] == by[100] and by[106] == ("und", 0.0)
 
 
+def test_n_grams_are_counted_in_arrays(monkeypatch):
+    rows = [("en", "cat", 3), ("de", "cat", 1), ("en", "a", 2), ("en", "banana", 5), ("de", "\u6f22\u5b57", 2), ("de", "\U00010400\u00e9", 7), ("en", "ab", 1)]
+    want: dict = {}
+    for lang, word, n in rows:
+        for size in range(1, language.LONGEST + 1):
+            for gram in language.grams_of(word, size):
+                want[lang, gram] = want.get((lang, gram), 0) + n
+    monkeypatch.setattr(language, "grams_of", None)  # not word by word
+    monkeypatch.setattr(language, "LOT", 12)
+    columns = [pa.array(c) for c in zip(*rows, strict=True)]
+    batches = [pa.RecordBatch.from_arrays([c.slice(k, 2) for c in columns], names=["lang", "word", "n"]) for k in range(0, len(rows), 2)]
+    got: dict = {}
+    for batch in language._count_grams([*batches, batches[0].slice(0, 0)]):
+        for r in batch.to_pylist():
+            got[r["lang"], r["word"]] = got.get((r["lang"], r["word"]), 0) + r["n"]
+    assert got == want
+
+
+def test_raw_words_are_judged_by_their_codes(monkeypatch):
+    class Model:
+        value = ({"cat": 0, "dog": 1}, np.array([[1.0, 10.0], [2.0, 20.0]]))
+
+    split = []
+    monkeypatch.setattr(language, "letter_words", lambda raw, f=language.letter_words: split.append(raw) or f(raw))
+    texts = ["Cat dog cat", "cat, (dog) 12 !", "owl cat-owl cat", None, "", "owl"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(range(6)), pa.array([False] * 6), pa.array(texts)], names=["row_", "doc_id", "held_out", "text"])
+    rows = next(iter(language._judge_frequent(Model)([batch]))).to_pylist()
+    assert [r["part"] for r in rows] == [[4.0, 40.0], [3.0, 30.0], [2.0, 20.0], [0.0, 0.0], [0.0, 0.0], [0.0, 0.0]]
+    assert [r["n"] for r in rows] == [3, 2, 4, 0, 0, 1]
+    assert [r["rest"] for r in rows] == [[], [], [{"word": "owl", "n": 2}], [], [], [{"word": "owl", "n": 1}]]
+    assert sorted(split) == ["!", "(dog)", "12", "cat,", "cat-owl", "owl"]  # each once, and no word that is sent
+
+
 # Repeated bytes
 
 
