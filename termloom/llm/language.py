@@ -22,10 +22,10 @@ LONGEST = 5
 SENT = 1_200_000
 #: Tables are broadcast in joins up to this many rows and joined by shuffle beyond.
 BROADCAST_ROWS = 200_000
-#: Different raw words of which a task keeps the letter words before it starts anew.
-KNOWN = 600_000
+#: Different raw words, beside those sent, of which a task keeps the letter words before it starts anew.
+KNOWN = 300_000
 #: Characters of words whose n-grams are counted at once.
-LOT = 1_000_000
+LOT = 300_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -53,19 +53,20 @@ def _count_words(batches):
     counts: dict[str, Counter] = {}
 
     def flush():
-        for lang, raw in counts.items():
-            total = Counter({token: n for token, n in raw.items() if token.isalpha()})
-            for token, n in raw.items():
-                if not token.isalpha():
-                    for word in letter_words(token):
-                        total[word] += n
-            yield _emit([lang] * len(total), list(total), list(total.values()))
-        counts.clear()
+        while counts:
+            lang, total = counts.popitem()
+            for token in [token for token in total if not token.isalpha()]:
+                n = total.pop(token)
+                for word in letter_words(token):
+                    total[word] += n
+            rows = _emit([lang] * len(total), list(total), list(total.values()))
+            del total
+            yield rows
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             counts.setdefault(lang, Counter()).update(text.as_py().lower().split())
-        if sum(map(len, counts.values())) > 500_000:
+        if sum(map(len, counts.values())) > KNOWN:
             yield from flush()
     yield from flush()
 
